@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandflow.functions.calendar import date_bounds, date_spine
+from demandflow.functions.calendar import date_bounds
 
 MANDATORY_TRAIN = ("id", "date", "store_nbr", "family", "sales", "onpromotion")
 MANDATORY_TEST = ("id", "date", "store_nbr", "family", "onpromotion")
@@ -48,24 +48,26 @@ def clean_stores(df: DataFrame) -> DataFrame:
     )
 
 
-def fill_gaps(df: DataFrame, date_col: str, value_col: str, series_cols: Sequence[str] = ()) -> DataFrame:
+def fill_gaps(
+    df: DataFrame,
+    date_col: str,
+    value_col: str,
+    series_cols: Sequence[str] = (),
+    until: DataFrame | None = None,
+) -> DataFrame:
     """A daily series without gaps: last known value, else the next known one.
 
     ``df`` has one row per date (and series), so a window partition never holds
     more rows than the calendar has days. Days of a series without any value are
-    left out.
+    left out. ``until`` (one row, one date) extends a series beyond its own end.
     """
     keys = list(series_cols)
     prices = df.select(*keys, F.to_date(date_col).alias(date_col), F.col(value_col).cast("double").alias(value_col))
-    if keys:
-        days = F.sequence("first_date", "last_date", F.expr("interval 1 day"))
-        spine = (
-            prices.groupBy(*keys)
-            .agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
-            .select(*keys, F.explode(days).alias(date_col))
-        )
-    else:
-        spine = date_spine(prices, date_col)
+    bounds = prices.groupBy(*keys).agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
+    if until is not None:
+        bounds = bounds.withColumn("last_date", F.greatest("last_date", until.scalar()))
+    days = F.sequence("first_date", "last_date", F.expr("interval 1 day"))
+    spine = bounds.select(*keys, F.explode(days).alias(date_col))
     w = Window.partitionBy(*keys).orderBy(date_col)
     before = F.last(value_col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first(value_col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))

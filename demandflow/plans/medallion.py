@@ -35,6 +35,12 @@ class Medallion:
     def oil(self) -> DataFrame:
         return materialize(fill_gaps(self.retail.oil_raw, "date", "dcoilwtico"), "silver_oil")
 
+    @cached_property
+    def oil_ahead(self) -> DataFrame:
+        """Prices up to the last day to forecast; days after the last quote keep its price."""
+        prices = fill_gaps(self.retail.oil_raw, "date", "dcoilwtico", until=self.retail.last_sale)
+        return materialize(prices, "silver_oil_ahead")
+
     @cached_property
     def train(self) -> DataFrame:
         return clean_sales(self.retail.sales_raw)
@@ -57,7 +63,7 @@ class Medallion:
     @cached_property
     def testing(self) -> DataFrame:
         rows = self.test.select("date", "store_nbr", "family", "onpromotion")
-        return enrich(rows, self.stores, self.holidays, self.oil, self.codes)
+        return enrich(rows, self.stores, self.holidays, self.oil_ahead, self.codes)
 
     @cached_property
     def gold(self) -> DataFrame:
