@@ -8,43 +8,58 @@ from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandflow.session import BROADCAST_ROWS, dimension_join, materialize
+from demandflow.session import dimension_join, is_small, materialize
 
 HASH_BUCKETS = 1024  # fixed value
 
 
-def category_codes(df: DataFrame, col: str) -> DataFrame:
-    """The sorted distinct values of a column, numbered from 0.
+def category_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The distinct values of several text columns as (category, value), in one pass."""
+    return df.select(*cols).unpivot([], list(cols), "category", "value").dropna(subset=["value"]).distinct()
 
-    A dictionary of ordinary size is numbered by one window. A larger one is
-    range-sorted, written, and numbered as position in its sorted chunk plus the
-    number of values in earlier chunks, so no task sees all of it.
+
+def category_codes(values: DataFrame) -> DataFrame:
+    """The sorted values of each category, numbered from 0.
+
+    ``values`` are distinct (category, value) pairs. Dictionaries of ordinary size
+    are numbered by a window per category, larger ones without one.
     """
-    values = df.select(F.col(col).alias("value")).dropna().distinct()
-    if values.count() <= BROADCAST_ROWS:
-        return values.withColumn("code", F.row_number().over(Window.orderBy("value")) - 1)
-    return number_sorted(values, "value")
+    values = materialize(values, "category_values")
+    if is_small(values):
+        code = F.row_number().over(Window.partitionBy("category").orderBy("value")) - 1
+        return values.withColumn("code", code)
+    return number_sorted(values)
 
 
-def number_sorted(values: DataFrame, col: str) -> DataFrame:
-    """Distributed ``row_number() - 1`` in the order of one distinct column."""
-    chunks = materialize(
-        values.orderBy(col).withColumn("_id", F.monotonically_increasing_id()), "sorted_values"
-    )
+def number_sorted(values: DataFrame) -> DataFrame:
+    """The same numbering for dictionaries of any size.
+
+    The pairs are range-sorted and written. A code is the position within the
+    category's part of its sorted chunk plus the category's rows in earlier chunks;
+    no task sees more than its chunk, even if one category holds most values.
+    """
+    ordered = values.orderBy("category", "value").withColumn("_id", F.monotonically_increasing_id())
     # The upper bits of the id are the chunk, the lower 33 bits the position in it.
-    chunks = chunks.select(
-        col, F.shiftright("_id", 33).alias("_chunk"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_pos")
+    chunks = materialize(ordered, "sorted_values").select(
+        "category",
+        "value",
+        F.shiftright("_id", 33).alias("_chunk"),
+        F.col("_id").bitwiseAND((1 << 33) - 1).alias("_position"),
+    )
+    # One row per chunk and category: as many as tasks and encoded columns.
+    sizes = chunks.groupBy("_chunk", "category").agg(F.count(F.lit(1)).alias("_n"), F.min("_position").alias("_first"))
+    in_order = Window.partitionBy("category").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_chunk", "category", "_first", F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"))
+    return chunks.join(F.broadcast(offsets), ["_chunk", "category"]).select(
+        "category", "value", (F.col("_position") - F.col("_first") + F.col("_before")).cast("int").alias("code")
     )
-    sizes = chunks.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_chunk", F.coalesce(before, F.lit(0)).alias("_offset"))
-    return chunks.join(F.broadcast(offsets), "_chunk").select(col, (F.col("_pos") + F.col("_offset")).cast("int").alias("code"))
 
 
 def encode(df: DataFrame, codes: DataFrame, col: str, out: str) -> DataFrame:
-    """Add the code of a column; a value not in the dictionary gets the next free code."""
-    named = codes.select(F.col("value").alias(col), F.col("code").alias(out))
-    unseen = codes.agg(F.coalesce(F.max("code") + 1, F.lit(0))).scalar()
+    """Add the code of a column; a value not in its dictionary gets the next free code."""
+    mine = codes.filter(F.col("category") == col)
+    named = mine.select(F.col("value").alias(col), F.col("code").alias(out))
+    unseen = mine.agg(F.coalesce(F.max("code") + 1, F.lit(0))).scalar()
     joined = dimension_join(df, named, col)
     return joined.withColumn(out, F.coalesce(out, F.when(F.col(col).isNotNull(), unseen)))
 

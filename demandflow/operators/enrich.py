@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +26,17 @@ def enrich(
     stores: DataFrame,
     holidays: DataFrame,
     oil: DataFrame,
-    codes: Mapping[str, DataFrame] | None = None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Modelling table; rows without a store or a price are dropped.
 
-    ``codes`` are dictionaries fitted on the training rows, applied to training
+    ``codes`` is the dictionary fitted on the training side, applied to training
     and testing rows alike.
     """
     joined = with_dimensions(fact, stores, holidays, oil).fillna({"is_holiday": 0}).dropna()
-    for col, dictionary in (codes or {}).items():
-        joined = encode(joined, dictionary, col, f"{col}_code")
+    if codes is not None:
+        for col in CATEGORIES:
+            joined = encode(joined, codes, col, f"{col}_code")
     return joined.withColumns(dict(training_calendar()))
 
 

@@ -174,9 +174,19 @@ def sufficient_series(
 def trainable_series(
     df: DataFrame, group_cols: Sequence[str], min_days: int = 365, date_col: str = "date", target_col: str = "sales"
 ) -> DataFrame:
-    """Rows of the series that qualify for training."""
-    keep = sufficient_series(df, group_cols, min_days, date_col, target_col).select(*group_cols)
-    return df.join(keep, list(group_cols), "left_semi")
+    """Rows of the series that qualify for training.
+
+    The distinct days are counted in date order within the series, so that one
+    shuffle serves the test and the result.
+    """
+    whole = Window.partitionBy(*group_cols)
+    new_day = F.coalesce(F.col(date_col) != F.lag(date_col).over(series_window(group_cols, date_col)), F.lit(True))
+    return (
+        df.withColumn("_new_day", new_day)
+        .withColumns({"_days": F.count_if("_new_day").over(whole), "_total": F.sum(target_col).over(whole)})
+        .filter((F.col("_days") >= min_days) & (F.col("_total") >= 0))
+        .drop("_new_day", "_days", "_total")
+    )
 
 
 def hash_sample(df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42) -> DataFrame:

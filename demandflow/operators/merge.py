@@ -1,7 +1,8 @@
 """Merges on tables without a transaction log.
 
 A merge returns the new content. The caller writes it to a new folder and points
-readers there; the folder being read is never overwritten.
+readers there; the folder being read is never overwritten. The source is written
+once, as it is read for the check, the updates and the inserts.
 """
 
 from __future__ import annotations
@@ -12,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandflow.operators.clean import keep_first
-from demandflow.session import is_small
+from demandflow.session import is_small, materialize
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """C14: add source rows whose key the target lacks; among source rows of one key the first is taken."""
-    rows = keep_first(source.select(*target.columns), key)
+    rows = materialize(keep_first(source.select(*target.columns), key), "merge_source")
     return target.unionByName(_unmatched(rows, target, key, is_small(rows)))
 
 
@@ -30,11 +31,12 @@ def merge_upsert(
     are an error, as the result would depend on their order.
     """
     keys = list(key)
-    if source.groupBy(*keys).count().filter("count > 1").head(1):
-        raise ValueError(f"source has several rows for one {keys}")
     columns = target.columns
     changed = [c for c in columns if c not in keys] if update is None else list(update)
-    rows = source.select(*columns)
+    rows = materialize(source.select(*columns), "merge_source")
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if (per_key.agg(F.max("n")).first()[0] or 0) > 1:
+        raise ValueError(f"source has several rows for one {keys}")
     small = is_small(rows)
     renamed = rows.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_matched"))
     merged = target.join(F.broadcast(renamed) if small else renamed, keys, "left").select(

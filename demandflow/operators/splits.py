@@ -50,12 +50,16 @@ def split_horizon(
     )
 
 
+def _last_day(df: DataFrame, date_col: str, last: DataFrame | None) -> Column:
+    """The last date of ``df``, from the one-row frame ``last`` where the caller has it at less cost."""
+    return (df.agg(F.max(date_col)) if last is None else last).scalar()
+
+
 def split_train_val_test(
-    df: DataFrame, test_days: int, val_days: int, date_col: str = "date"
+    df: DataFrame, test_days: int, val_days: int, date_col: str = "date", last: DataFrame | None = None
 ) -> DataFrame:
     """Three parts by calendar horizons counted back from the last day."""
-    last = df.agg(F.max(date_col)).scalar()
-    test_start = F.date_sub(last, test_days - 1)
+    test_start = F.date_sub(_last_day(df, date_col, last), test_days - 1)
     val_start = F.date_sub(test_start, val_days)
     return df.withColumn(
         "split",
@@ -81,10 +85,12 @@ def short_groups(split: DataFrame, group_cols: Sequence[str], min_train: int) ->
     )
 
 
-def split_last_days(df: DataFrame, days: int = 28, date_col: str = "date") -> DataFrame:
+def split_last_days(
+    df: DataFrame, days: int = 28, date_col: str = "date", last: DataFrame | None = None
+) -> DataFrame:
     """The last ``days`` days are for validation."""
-    last = df.agg(F.max(date_col)).scalar()
-    return df.withColumn("split", F.when(F.col(date_col) > F.date_sub(last, days), VALIDATION).otherwise(TRAIN))
+    cut = F.date_sub(_last_day(df, date_col, last), days)
+    return df.withColumn("split", F.when(F.col(date_col) > cut, VALIDATION).otherwise(TRAIN))
 
 
 def _fraction_cut(fraction: float, first: Column, last: Column) -> Column:

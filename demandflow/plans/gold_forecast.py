@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandflow.operators.merge import merge_upsert
-from demandflow.session import dimension_join
 from demandflow.sources.contracts import FORECAST_FACT
 from demandflow.sources.files import align_to_schema
 
@@ -146,17 +145,17 @@ def future_forecasts(fact: DataFrame, as_of: str, n: int) -> DataFrame:
     )
 
 
-def sales_and_forecasts(gold: DataFrame, forecasts: DataFrame, validation: DataFrame, stores: DataFrame) -> DataFrame:
-    """M7: actuals, forecasts per scenario and validation predictions as one stack with the store's city."""
-    cities = stores.select("store_nbr", "city")
-    shown = ("date", "store_nbr", "family", "city")
+def sales_and_forecasts(actual: DataFrame, forecasts: DataFrame, validation: DataFrame) -> DataFrame:
+    """M7: actuals, forecasts per scenario and validation predictions, each with its city, as one stack."""
 
-    def predicted(df: DataFrame, data_type: Column) -> DataFrame:
-        return dimension_join(df, cities, "store_nbr").select(
-            *shown, F.col("predicted_sales").alias("actual_sales"), data_type.alias("data_type")
+    def stacked(df: DataFrame, value: str, data_type: Column) -> DataFrame:
+        return df.select(
+            "date", "store_nbr", "family", "city", F.col(value).alias("actual_sales"), data_type.alias("data_type")
         )
 
-    actual = gold.select(*shown, F.col("sales").alias("actual_sales"), F.lit("Actual").alias("data_type"))
-    return actual.unionByName(
-        predicted(forecasts, F.concat(F.lit("Forecast - "), F.col("scenario")))
-    ).unionByName(predicted(validation, F.lit("Validation")))
+    scenario = F.concat(F.lit("Forecast - "), F.col("scenario"))
+    return (
+        stacked(actual, "sales", F.lit("Actual"))
+        .unionByName(stacked(forecasts, "predicted_sales", scenario))
+        .unionByName(stacked(validation, "predicted_sales", F.lit("Validation")))
+    )

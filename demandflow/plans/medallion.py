@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from demandflow.operators.clean import clean_future, clean_sales, clean_stores, fill_gaps, holiday_calendar
-from demandflow.operators.encode import category_codes
+from demandflow.operators.encode import category_codes, category_values
 from demandflow.operators.enrich import CATEGORIES, enrich, gold_daily_fact
 from demandflow.session import materialize
 from demandflow.sources.retail import NATIONAL, Retail
@@ -50,14 +50,20 @@ class Medallion:
         return clean_future(self.retail.future_raw)
 
     @cached_property
-    def codes(self) -> dict[str, DataFrame]:
-        """Dictionaries fitted on the training side only."""
-        sources = {"family": self.train, "city": self.stores, "state": self.stores, "type": self.stores}
-        return {c: materialize(category_codes(sources[c], c), f"codes_{c}") for c in CATEGORIES}
+    def stored_train(self) -> DataFrame:
+        """The cleaned rows as a written table, for jobs that read them several times."""
+        return materialize(self.train, "silver_train")
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        """Dictionary fitted on the training side only."""
+        values = category_values(self.stored_train, ["family"])
+        values = values.unionByName(category_values(self.stores, [c for c in CATEGORIES if c != "family"]))
+        return materialize(category_codes(values), "category_codes")
 
     @cached_property
     def training(self) -> DataFrame:
-        rows = self.train.select("date", "store_nbr", "family", "sales", "onpromotion")
+        rows = self.stored_train.select("date", "store_nbr", "family", "sales", "onpromotion")
         return enrich(rows, self.stores, self.holidays, self.oil, self.codes)
 
     @cached_property

@@ -133,11 +133,12 @@ def merge_insert_only(spark: SparkSession, folder: str) -> DataFrame:
 def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Corrections of the first five rows and the last day's rows again for the day after."""
     r = retail(spark, folder)
+    target = r.stored_sales
     corrections = (
-        r.sales.orderBy(*SALES_KEY).limit(5).withColumns({"sales": F.col("sales") + 25, "onpromotion": F.lit(1)})
+        target.orderBy(*SALES_KEY).limit(5).withColumns({"sales": F.col("sales") + 25, "onpromotion": F.lit(1)})
     )
-    next_day = r.sales.filter(F.col("date") == r.last_sale.scalar()).withColumn("date", F.date_add("date", 1))
-    return merge.merge_upsert(r.sales, corrections.unionByName(next_day), SALES_KEY)
+    next_day = target.filter(F.col("date") == r.last_sale.scalar()).withColumn("date", F.date_add("date", 1))
+    return merge.merge_upsert(target, corrections.unionByName(next_day), SALES_KEY)
 
 
 # --- streaming -----------------------------------------------------------------------------------

@@ -9,14 +9,14 @@ from demandflow.plans import growth
 from demandflow.plans.models import scenario_features as what_if
 from demandflow.queries import query
 from demandflow.queries.common import RUN_AT, retail, rounded
-from demandflow.session import dimension_join
+from demandflow.session import materialize
 
 YEARS = range(1995, 2002)
 
 
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    return gf.sales_forecast_fact(r.sales, r.model_pred, RUN_AT)
+    return gf.sales_forecast_fact(r.stored_sales, r.model_pred, RUN_AT)
 
 
 @query
@@ -27,13 +27,13 @@ def sales_forecast_fact(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def backtest_records(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    return gf.backtest_records(r.model_pred, r.sales, RUN_AT)
+    return gf.backtest_records(r.model_pred, r.stored_sales, RUN_AT)
 
 
 @query
 def refresh_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    latest = gf.latest_forecasts(_fact(spark, folder))
+    latest = materialize(gf.latest_forecasts(_fact(spark, folder)), "forecasts")
     return gf.refresh_forecasts(latest, r.retrained_pred, "previous", "2002-03-01 00:00:00")
 
 
@@ -78,9 +78,10 @@ def future_forecasts(spark: SparkSession, folder: str) -> DataFrame:
 def _stack(spark: SparkSession, folder: str) -> DataFrame:
     """Actuals with their city, scenario forecasts and validation predictions."""
     r = retail(spark, folder)
-    cities = r.silver_stores.select("store_nbr", "city")
-    actual = dimension_join(r.sales, cities, "store_nbr")
-    return gf.sales_and_forecasts(actual, r.scenario_pred, r.validation_pred, cities)
+    actual, forecasts, validation = (
+        r.at_stores(df, "city", how="left") for df in (r.stored_sales, r.scenario_pred, r.validation_pred)
+    )
+    return gf.sales_and_forecasts(actual, forecasts, validation)
 
 
 def _totals(spark: SparkSession, folder: str) -> tuple[DataFrame, growth.Period]:

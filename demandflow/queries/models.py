@@ -19,7 +19,7 @@ from demandflow.config import (
 )
 from demandflow.operators import metrics as m
 from demandflow.operators import splits as sp
-from demandflow.operators.encode import category_codes, encode
+from demandflow.operators.encode import category_codes, category_values, encode
 from demandflow.operators.features import build_features, existing, rolling_stats
 from demandflow.plans import clusters
 from demandflow.plans import models as mo
@@ -210,8 +210,10 @@ def model_reload_diff(spark: SparkSession, folder: str) -> DataFrame:
 
 def _scaled_errors(spark: SparkSession, folder: str) -> DataFrame:
     errors = m.forecast_errors(m.family_daily(retail(spark, folder).pred))
-    coded = encode(errors, materialize(category_codes(errors, "family"), "family_codes"), "family", "family_code")
-    return clusters.scaled_features(materialize(coded, "errors")).cache()
+    errors = materialize(errors, "errors")
+    codes = category_codes(category_values(errors, ["family"]))
+    coded = materialize(encode(errors, codes, "family", "family_code"), "coded_errors")
+    return clusters.scaled_features(coded).cache()
 
 
 @query

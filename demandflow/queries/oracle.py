@@ -323,8 +323,9 @@ _BODIES["log_roundtrip"] = """
 SELECT date, store_nbr, family, sales, ROUND(ln(1 + sales), 6) AS log_sales, ROUND(GREATEST(exp(ln(1 + sales)) - 1, 0), 6) AS restored
 FROM sales"""
 _BODIES["category_codes"] = "SELECT * FROM codes"
-_BODIES["store_codes"] = """
-SELECT c_name AS value, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INT) AS code FROM (SELECT DISTINCT c_name FROM customer)"""
+_BODIES["large_category_codes"] = """
+SELECT category, value, CAST(row_number() OVER (PARTITION BY category ORDER BY value) - 1 AS INT) AS code FROM (
+  SELECT DISTINCT 'p_name' AS category, p_name AS value FROM part UNION SELECT DISTINCT 'p_type', p_type FROM part)"""
 _BODIES["daily_total_check"] = "SELECT SUM(sales) AS total FROM gold WHERE date = DATE '1998-08-05'"
 _BODIES["fact_preview"] = """
 SELECT id, date, store_nbr, family, sales, is_holiday FROM gold WHERE sales = 1 AND is_holiday IS NOT NULL

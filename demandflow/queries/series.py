@@ -13,7 +13,6 @@ from demandflow.plans import growth
 from demandflow.plans.baselines import seasonal_naive as baseline
 from demandflow.queries import query
 from demandflow.queries.common import SERIES, STORE_SERIES, retail, rounded
-from demandflow.session import dimension_join
 
 LAGS = (1, 7, 14, 28, 56, 71)
 SPANS = (7, 28)
@@ -23,8 +22,7 @@ STORE_MIN_DAYS = 90  # store and family series are short in the test data
 @query
 def aggregate_granularity(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    rows = dimension_join(r.sales, r.stores.select("store_nbr", "city"), "store_nbr", "inner")
-    rows = rows.withColumn("top_promotion", F.col("onpromotion"))
+    rows = r.at_stores(r.sales, "city").withColumn("top_promotion", F.col("onpromotion"))
     extra = {"onpromotion": "sum", "top_promotion": "max"}
     return fe.aggregate_to_granularity(rows, "date", "sales", ["city", "family"], "mean", extra)
 
@@ -122,23 +120,27 @@ def split_horizon(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def split_train_val_test(spark: SparkSession, folder: str) -> DataFrame:
-    return sp.split_train_val_test(retail(spark, folder).series, 180, 30)
+    r = retail(spark, folder)
+    return sp.split_train_val_test(r.series, 180, 30, last=r.last_sale)
 
 
 @query
 def split_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(sp.split_shares(sp.split_train_val_test(retail(spark, folder).series, 180, 30)))
+    r = retail(spark, folder)
+    return rounded(sp.split_shares(sp.split_train_val_test(r.series, 180, 30, last=r.last_sale)))
 
 
 @query
 def short_groups(spark: SparkSession, folder: str) -> DataFrame:
-    split = sp.split_train_val_test(retail(spark, folder).sales, 180, 30)
+    r = retail(spark, folder)
+    split = sp.split_train_val_test(r.sales, 180, 30, last=r.last_sale)
     return sp.short_groups(split, STORE_SERIES, 95)
 
 
 @query
 def split_last_days(spark: SparkSession, folder: str) -> DataFrame:
-    return sp.split_last_days(retail(spark, folder).sales)
+    r = retail(spark, folder)
+    return sp.split_last_days(r.sales, last=r.last_sale)
 
 
 @query
@@ -155,7 +157,8 @@ def training_eligibility(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def set_difference(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct (family, sales) pairs of the training days that the last 28 days lack."""
-    split = sp.split_last_days(retail(spark, folder).sales)
+    r = retail(spark, folder)
+    split = sp.split_last_days(r.sales, last=r.last_sale)
     pairs = split.select("split", "family", "sales")
     return sp.part(pairs, sp.TRAIN).subtract(sp.part(pairs, sp.VALIDATION))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,17 +100,14 @@ def log_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def category_codes(spark: SparkSession, folder: str) -> DataFrame:
-    codes = [
-        df.select(F.lit(name).alias("category"), "value", "code") for name, df in tiers(spark, folder).codes.items()
-    ]
-    return reduce(DataFrame.unionByName, codes)
+    return tiers(spark, folder).codes
 
 
 @query
-def store_codes(spark: SparkSession, folder: str) -> DataFrame:
-    """Codes of a high-cardinality column, numbered without a single-task window."""
-    names = retail(spark, folder).table("customer").select(F.col("c_name").alias("value")).dropna().distinct()
-    return encode.number_sorted(names, "value")
+def large_category_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two columns of very different size, numbered the way dictionaries too large for a window are."""
+    parts = retail(spark, folder).table("part")
+    return encode.number_sorted(encode.category_values(parts, ["p_name", "p_type"]))
 
 
 @query

@@ -55,13 +55,15 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
-def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound: DataFrame | None = None) -> DataFrame:
     """``df`` marked for broadcast when its counted size allows, unmarked otherwise.
 
-    An unmarked side leaves a shuffle join whose hot keys the adaptive planner
-    splits (``spark.sql.adaptive.skewJoin``).
+    ``bound`` is a frame with at least as many rows that is cheaper to count, such
+    as the table a derived dimension has one row each of. An unmarked side leaves a
+    shuffle join whose hot keys the adaptive planner splits
+    (``spark.sql.adaptive.skewJoin``).
     """
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    return F.broadcast(df) if is_small(df if bound is None else bound, max_rows) else df
 
 
 def dimension_join(
@@ -70,7 +72,8 @@ def dimension_join(
     on: str | Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of a fact with a dimension, broadcasting only a dimension of checked size."""
     keys = [on] if isinstance(on, str) else list(on)
-    return fact.join(sized(dim, max_rows), keys, how)
+    return fact.join(sized(dim, max_rows, bound), keys, how)

@@ -59,10 +59,15 @@ class Retail:
             (F.col("s_suppkey") % CLUSTERS).cast("int").alias("cluster"),
         )
 
+    def at_stores(self, df: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
+        """``df`` with columns of its store. There is one store per supplier, whose count is a footer read."""
+        stores = self.stores.select("store_nbr", *columns)
+        return dimension_join(df, stores, "store_nbr", how, bound=self.table("supplier"))
+
     @cached_property
-    def silver_stores(self) -> DataFrame:
-        """The store dimension as a written table, so that its size is known."""
-        return materialize(self.stores, "silver_stores")
+    def stored_sales(self) -> DataFrame:
+        """The daily fact as a written table, for jobs that read it several times."""
+        return materialize(self.sales, "silver_sales")
 
     @cached_property
     def _sold(self) -> DataFrame:
@@ -162,7 +167,7 @@ class Retail:
     def series(self) -> DataFrame:
         """Dense panel: one row per date, family and state."""
         return (
-            dimension_join(self.sales, self.stores.select("store_nbr", "state"), "store_nbr", "inner")
+            self.at_stores(self.sales, "state")
             .groupBy("date", "family", "state")
             .agg(
                 F.sum(F.col("sales").cast("bigint")).cast("double").alias("sales"),
@@ -182,7 +187,7 @@ class Retail:
     def lagged_sales(self, *lags: int) -> DataFrame:
         """The daily fact with ``lag_<n>`` of its sales per store and family."""
         w = Window.partitionBy("store_nbr", "family").orderBy("date")
-        return self.sales.select("*", *[F.lag("sales", n).over(w).alias(f"lag_{n}") for n in lags])
+        return self.stored_sales.select("*", *[F.lag("sales", n).over(w).alias(f"lag_{n}") for n in lags])
 
     @cached_property
     def scenario_pred(self) -> DataFrame:
