@@ -55,26 +55,27 @@ def fill_gaps(
     series_cols: Sequence[str] = (),
     until: DataFrame | None = None,
 ) -> DataFrame:
-    """A daily series without gaps: last known value, else the next known one.
+    """A daily series without gaps: last known value, else (at the start) the first known one.
 
-    ``df`` has one row per date (and series), so a window partition never holds
-    more rows than the calendar has days. Days of a series without any value are
-    left out. ``until`` (one row, one date) extends a series beyond its own end.
+    Every known value is repeated until the day before the next one, and the
+    first also back to the first listed day, so one shuffle by series is all it
+    takes. ``df`` has one row per date (and series): a window partition never
+    holds more rows than the calendar has days. ``until`` (one row, one date)
+    extends a series beyond its own end.
     """
     keys = list(series_cols)
-    prices = df.select(*keys, F.to_date(date_col).alias(date_col), F.col(value_col).cast("double").alias(value_col))
-    bounds = prices.groupBy(*keys).agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
+    rows = df.select(*keys, F.to_date(date_col).alias(date_col), F.col(value_col).cast("double").alias(value_col))
+    whole = Window.partitionBy(*keys)
+    known = rows.withColumns({"_first": F.min(date_col).over(whole), "_last": F.max(date_col).over(whole)}).dropna(
+        subset=[value_col]
+    )
     if until is not None:
-        bounds = bounds.withColumn("last_date", F.greatest("last_date", until.scalar()))
-    days = F.sequence("first_date", "last_date", F.expr("interval 1 day"))
-    spine = bounds.select(*keys, F.explode(days).alias(date_col))
-    w = Window.partitionBy(*keys).orderBy(date_col)
-    before = F.last(value_col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(value_col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return (
-        spine.join(prices, [*keys, date_col], "left")
-        .withColumn(value_col, F.coalesce(before, after))
-        .dropna(subset=[value_col])
+        known = known.withColumn("_last", F.greatest("_last", until.scalar()))
+    in_order = whole.orderBy(date_col)
+    start = F.when(F.lag(date_col).over(in_order).isNull(), F.col("_first")).otherwise(F.col(date_col))
+    end = F.coalesce(F.date_sub(F.lead(date_col).over(in_order), 1), "_last")
+    return known.withColumns({"_start": start, "_end": end}).select(
+        *keys, F.explode(F.sequence("_start", "_end", F.expr("interval 1 day"))).alias(date_col), value_col
     )
 
 

@@ -46,14 +46,22 @@ def aggregate_to_granularity(
 def densify(
     df: DataFrame, date_col: str, group_cols: Sequence[str], fill: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Add the missing days between the first and last day of every series."""
-    days = F.sequence("_first", "_last", F.expr("interval 1 day"))
-    spine = (
-        df.groupBy(*group_cols)
-        .agg(F.min(date_col).alias("_first"), F.max(date_col).alias("_last"))
-        .select(*group_cols, F.explode(days).alias(date_col))
+    """Add the missing days between the first and last day of every series.
+
+    Each row also stands for the days up to the next row; there its values are
+    replaced by null or the given fill.
+    """
+    following = F.lead(date_col).over(series_window(group_cols, date_col))
+    last_missing = F.coalesce(F.date_sub(following, 1), F.col(date_col))
+    days = df.withColumn("_until", last_missing).withColumn(
+        "_day", F.explode(F.sequence(date_col, "_until", F.expr("interval 1 day")))
     )
-    return spine.join(df, [*group_cols, date_col], "left").fillna(dict(fill or {}))
+    values = [c for c in df.columns if c not in (*group_cols, date_col)]
+    return days.select(
+        *group_cols,
+        F.col("_day").alias(date_col),
+        *[F.when(F.col("_day") == F.col(date_col), F.col(c)).alias(c) for c in values],
+    ).fillna(dict(fill or {}))
 
 
 def lag_columns(target_col: str, w: WindowSpec, lags: Sequence[int], prefix: str = "lag_") -> dict[str, Column]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandflow.operators.features import series_window
+from demandflow.session import dimension_join, materialize
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -102,15 +103,15 @@ def split_fraction(
 ) -> DataFrame:
     """Each group is cut at a fraction of its own date span.
 
-    The bounds are aggregated and joined back, as a group here may be a whole
-    product family, of which there are few but with very many rows.
+    A group here may be a whole product family, of which there are few but with
+    very many rows: its bounds are aggregated, written and joined back, which
+    leaves the rows where they are.
     """
     bounds = df.groupBy(*group_cols).agg(F.min(date_col).alias("_first"), F.max(date_col).alias("_last"))
     cut = _fraction_cut(fraction, F.col("_first"), F.col("_last"))
     cuts = bounds.select(*group_cols, cut.alias("split_date"))
-    return df.join(cuts, list(group_cols)).withColumn(
-        "split", F.when(F.col(date_col) < F.col("split_date"), TRAIN).otherwise(TEST)
-    )
+    dated = dimension_join(df, materialize(cuts, "split_dates"), group_cols, "inner")
+    return dated.withColumn("split", F.when(F.col(date_col) < F.col("split_date"), TRAIN).otherwise(TEST))
 
 
 def training_eligibility(

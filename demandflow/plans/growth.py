@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandflow.functions.calendar import week_end
+from demandflow.operators.features import series_window
 
 # Which record kinds make up each scenario.
 SCENARIOS = {
@@ -100,6 +101,10 @@ def data_type_bounds(stack: DataFrame) -> DataFrame:
 def weekly_resample(df: DataFrame, group_cols: Sequence[str], date_col: str = "date", value_col: str = "sales") -> DataFrame:
     """Weekly totals labelled by the closing Sunday, empty weeks in between as 0."""
     weekly = df.groupBy(*group_cols, week_end(date_col).alias(date_col)).agg(F.sum(value_col).alias(value_col))
-    weeks = F.sequence(F.min(date_col), F.max(date_col), F.expr("interval 7 days"))
-    spine = weekly.groupBy(*group_cols).agg(weeks.alias("_weeks")).select(*group_cols, F.explode("_weeks").alias(date_col))
-    return spine.join(weekly, [*group_cols, date_col], "left").fillna(0.0, subset=[value_col])
+    following = F.lead(date_col).over(series_window(group_cols, date_col))
+    until = F.coalesce(F.date_sub(following, 7), F.col(date_col))
+    weeks = weekly.withColumn("_until", until).withColumn(
+        "_week", F.explode(F.sequence(date_col, "_until", F.expr("interval 7 days")))
+    )
+    value = F.when(F.col("_week") == F.col(date_col), F.col(value_col)).otherwise(0.0)
+    return weeks.select(*group_cols, F.col("_week").alias(date_col), value.alias(value_col))

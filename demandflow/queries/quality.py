@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.operators import quality as q
-from demandflow.operators.policy import CityPolicy, apply_row_policy, publish_view
+from demandflow.operators.policy import CityPolicy, publish_view
 from demandflow.queries import query
 from demandflow.queries.common import retail, tiers
 from demandflow.sources.contracts import CONTRACTS
@@ -89,11 +89,8 @@ def row_policy(spark: SparkSession, folder: str) -> DataFrame:
     per_city = (
         tiers(spark, folder).gold.groupBy("city").agg(F.count(F.lit(1)).alias("row_count"), F.sum("sales").alias("sales"))
     )
-    seen = [
-        apply_row_policy(per_city, POLICY, groups).select(F.lit(reader).alias("reader"), "city", "row_count", "sales")
-        for reader, groups in READERS.items()
-    ]
-    return reduce(DataFrame.unionByName, seen)
+    readers = F.array(*[F.when(POLICY.predicate(groups), reader) for reader, groups in READERS.items()])
+    return per_city.select(F.explode(F.array_compact(readers)).alias("reader"), "city", "row_count", "sales")
 
 
 @query

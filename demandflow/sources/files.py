@@ -59,14 +59,13 @@ def with_month_partitions(df: DataFrame, date_col: str = "date") -> DataFrame:
 def write_partitioned(
     df: DataFrame, target: str, by: Sequence[str] = ("year", "month"), mode: str = "overwrite"
 ) -> None:
-    """Partitioned table with about one file per partition value and task.
+    """Partitioned table with few files per partition value.
 
-    Rows are first clustered by partition value plus a hash of the row, so that a
-    hot partition value is spread over several tasks and no task opens a file for
-    every value.
+    The rebalance hint clusters rows by partition value, so that no task opens a
+    file for every value, and lets the adaptive planner split a hot value over
+    several tasks and join small ones.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(4))
-    df.repartition(*by, spread).write.mode(mode).partitionBy(*by).parquet(target)
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(target)
 
 
 def read_evolving(spark: SparkSession, *paths: str) -> DataFrame:
