@@ -32,7 +32,7 @@ def is_weekend(date_col: str) -> Column:
 
 def week_start(date_col: str) -> Column:
     """H8: the Monday of the week."""
-    return F.date_trunc("week", F.col(date_col)).cast("date")
+    return F.date_sub(F.col(date_col), F.weekday(date_col))
 
 
 def week_end(date_col: str) -> Column:

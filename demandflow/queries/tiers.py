@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandflow.functions import calendar as cal
-from demandflow.functions.scalars import from_log1p, normalize_flag
+from demandflow.functions import scalars
 from demandflow.operators import clean, encode
 from demandflow.operators.quality import daily_total
 from demandflow.queries import query
@@ -75,13 +75,13 @@ def oil_gap_fill(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def normalize_flags(spark: SparkSession, folder: str) -> DataFrame:
+def normalize_flag(spark: SparkSession, folder: str) -> DataFrame:
     """Spellings of a flag, derived from every order."""
     spelling = F.array(*[F.lit(s) for s in ("True", "true", "1", "False", "false", "0", "yes")])
     orders = retail(spark, folder).table("orders").select(
         "o_orderkey", spelling[(F.col("o_orderkey") % 7).cast("int")].alias("flag_text")
     )
-    return orders.select("o_orderkey", "flag_text", normalize_flag(F.col("flag_text")).alias("flag"))
+    return orders.select("o_orderkey", "flag_text", scalars.normalize_flag(F.col("flag_text")).alias("flag"))
 
 
 @query
@@ -95,7 +95,7 @@ def calendar_features(spark: SparkSession, folder: str) -> DataFrame:
 def log_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     sales = retail(spark, folder).sales.select("date", "store_nbr", "family", "sales")
     logged = sales.withColumn("log_sales", F.log1p("sales"))
-    return rounded(logged.withColumn("restored", from_log1p(F.col("log_sales"))), "log_sales", "restored")
+    return rounded(logged.withColumn("restored", scalars.from_log1p(F.col("log_sales"))), "log_sales", "restored")
 
 
 @query
