@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandflow.functions.calendar import date_bounds
+from demandflow.session import dimension_join
 
 MANDATORY_TRAIN = ("id", "date", "store_nbr", "family", "sales", "onpromotion")
 MANDATORY_TEST = ("id", "date", "store_nbr", "family", "onpromotion")
@@ -95,21 +96,24 @@ def holiday_calendar(
     """
     bounds = date_bounds(holidays if spine is None else spine)
     first, last = (bounds.select(c).scalar() for c in ("first_date", "last_date"))
-    observed = holidays.filter(~F.col("transferred"))
-    places = stores.select("state", F.col("state").alias("locale_name")).distinct()
+    observed = holidays.filter(~F.col("transferred")).select("date", "locale_name")
+    states = stores.select("state").distinct()
+    places = states.select("state", F.lit(national).alias("locale_name")).unionByName(
+        states.select("state", F.col("state").alias("locale_name"))
+    )
     if match_city:
         places = places.unionByName(stores.select("state", F.col("city").alias("locale_name")).distinct())
-    everywhere = places.select("state").distinct().withColumn("locale_name", F.lit(national))
-    marked = (
-        observed.select("date", "locale_name")
-        .join(places.unionByName(everywhere), "locale_name")
-        .select("date", "state")
-        .distinct()
-        .withColumn("is_holiday", F.lit(1))
+    # At most two places per state and one per city: no more than three per store.
+    marked = dimension_join(observed, places, "locale_name", "inner", bound=stores).filter(
+        F.col("date").between(first, last)
+    )
+    days = F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date")
+    return (
+        states.select(days, "state", F.lit(0).alias("is_holiday"))
+        .unionByName(marked.select("date", "state", F.lit(1).alias("is_holiday")))
+        .groupBy("date", "state")
+        .agg(F.max("is_holiday").alias("is_holiday"))
     )
-    states = stores.select("state").distinct().withColumn("_days", F.sequence(first, last, F.expr("interval 1 day")))
-    grid = states.select(F.explode("_days").alias("date"), "state")
-    return grid.join(marked, ["date", "state"], "left").fillna(0, subset=["is_holiday"])
 
 
 def holiday_wide(calendar: DataFrame, states: Sequence[str]) -> DataFrame:

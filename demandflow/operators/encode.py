@@ -8,7 +8,7 @@ from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandflow.session import dimension_join, is_small, materialize
+from demandflow.session import BROADCAST_ROWS, is_small, materialize
 
 HASH_BUCKETS = 1024  # fixed value
 
@@ -55,13 +55,16 @@ def number_sorted(values: DataFrame) -> DataFrame:
     )
 
 
-def encode(df: DataFrame, codes: DataFrame, col: str, out: str) -> DataFrame:
-    """Add the code of a column; a value not in its dictionary gets the next free code."""
-    mine = codes.filter(F.col("category") == col)
-    named = mine.select(F.col("value").alias(col), F.col("code").alias(out))
-    unseen = mine.agg(F.coalesce(F.max("code") + 1, F.lit(0))).scalar()
-    joined = dimension_join(df, named, col)
-    return joined.withColumn(out, F.coalesce(out, F.when(F.col(col).isNotNull(), unseen)))
+def encode(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "_code") -> DataFrame:
+    """Add the code of each column; a value not in its dictionary gets the next free code."""
+    known = {r["category"]: r["count"] for r in codes.groupBy("category").count().collect()}  # one row per column
+    for col in cols:
+        named = codes.filter(F.col("category") == col).select(F.col("value").alias(col), F.col("code").alias(col + suffix))
+        size = known.get(col, 0)
+        df = df.join(F.broadcast(named) if size <= BROADCAST_ROWS else named, col, "left").withColumn(
+            col + suffix, F.coalesce(col + suffix, F.when(F.col(col).isNotNull(), size))
+        )
+    return df
 
 
 def hashed_features(df: DataFrame, cols: Sequence[str], out: str = "hash_features") -> DataFrame:

@@ -35,8 +35,7 @@ def enrich(
     """
     joined = with_dimensions(fact, stores, holidays, oil).fillna({"is_holiday": 0}).dropna()
     if codes is not None:
-        for col in CATEGORIES:
-            joined = encode(joined, codes, col, f"{col}_code")
+        joined = encode(joined, codes, CATEGORIES)
     return joined.withColumns(dict(training_calendar()))
 
 

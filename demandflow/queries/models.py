@@ -212,7 +212,7 @@ def _scaled_errors(spark: SparkSession, folder: str) -> DataFrame:
     errors = m.forecast_errors(m.family_daily(retail(spark, folder).pred))
     errors = materialize(errors, "errors")
     codes = category_codes(category_values(errors, ["family"]))
-    coded = materialize(encode(errors, codes, "family", "family_code"), "coded_errors")
+    coded = materialize(encode(errors, codes, ["family"]), "coded_errors")
     return materialize(clusters.scaled_features(coded), "scaled_errors")
 
 

@@ -60,13 +60,13 @@ def date_spine(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def holiday_calendar(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    return clean.holiday_calendar(r.holidays_raw, r.stores, NATIONAL)
+    return clean.holiday_calendar(r.stored_holidays, r.stores, NATIONAL)
 
 
 @query
 def holiday_wide(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    return clean.holiday_wide(clean.holiday_calendar(r.holidays_raw, r.stores, NATIONAL), STATES)
+    return clean.holiday_wide(clean.holiday_calendar(r.stored_holidays, r.stores, NATIONAL), STATES)
 
 
 @query

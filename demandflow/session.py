@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``materialize`` several independent frames, their jobs running side by side."""
+    with ThreadPoolExecutor(max(1, len(frames))) as pool:
+        return dict(zip(frames, pool.map(materialize, frames.values(), frames), strict=True))
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows (footer-only on a Parquet scan)."""
     return df.count() <= max_rows

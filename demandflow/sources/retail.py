@@ -148,28 +148,32 @@ class Retail:
     @cached_property
     def holidays_raw(self) -> DataFrame:
         """National holidays on day 1, regional ones on day 15 of quarter-end months."""
-        orders = self.table("orders").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
-        region = self.table("region").select("r_name", "r_regionkey")
-        national = orders.filter(F.dayofmonth("date") == 1).select(
-            "date",
-            F.lit("Holiday").alias("type"),
-            F.lit("National").alias("locale"),
-            F.lit(NATIONAL).alias("locale_name"),
-            (F.month("date") == 6).alias("transferred"),
+        day, month = F.dayofmonth("date"), F.month("date")
+        regional = (day == 15) & month.isin(3, 6, 9, 12)
+        dates = (
+            self.table("orders")
+            .select(F.col("o_orderdate").cast("date").alias("date"))
+            .filter((day == 1) | regional)
+            .distinct()
+            .withColumn("r_regionkey", F.when(regional, month % 5))
         )
-        regional = (
-            orders.filter((F.dayofmonth("date") == 15) & F.month("date").isin(3, 6, 9, 12))
-            .withColumn("r_regionkey", (F.month("date") % 5).cast("int"))
-            .transform(dimension_join, region, "r_regionkey", "inner")
+        region = self.table("region").select("r_name", "r_regionkey")
+        return (
+            dimension_join(dates, region, "r_regionkey")
+            .filter((day == 1) | F.col("r_name").isNotNull())
             .select(
                 "date",
                 F.lit("Holiday").alias("type"),
-                F.lit("Regional").alias("locale"),
-                F.col("r_name").alias("locale_name"),
-                F.lit(False).alias("transferred"),
+                F.when(day == 1, "National").otherwise("Regional").alias("locale"),
+                F.when(day == 1, NATIONAL).otherwise(F.col("r_name")).alias("locale_name"),
+                ((day == 1) & (month == 6)).alias("transferred"),
             )
         )
-        return national.unionByName(regional)
+
+    @cached_property
+    def stored_holidays(self) -> DataFrame:
+        """The listed holidays as a written table, for jobs that read them several times."""
+        return materialize(self.holidays_raw, "bronze_holidays")
 
     @cached_property
     def series(self) -> DataFrame:

@@ -53,7 +53,7 @@ def test_codes_are_sorted_and_unseen_values_get_the_next_code(spark):
     codes = en.category_codes(en.category_values(df, ["family"]))
     assert rows(codes) == [("family", "a", 0), ("family", "b", 1), ("family", "c", 2)]
     later = spark.createDataFrame([("c",), ("new",), (None,)], "family string")
-    assert {r.family: r.code for r in en.encode(later, codes, "family", "code").collect()} == {"c": 2, "new": 3, None: None}
+    assert {r.family: r.family_code for r in en.encode(later, codes, ["family"]).collect()} == {"c": 2, "new": 3, None: None}
 
 
 def test_numbering_without_a_window_equals_the_window(spark):
