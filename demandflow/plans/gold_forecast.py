@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandflow.operators.merge import merge_upsert
 from demandflow.sources.contracts import FORECAST_FACT
-from demandflow.sources.files import align_to_schema
+from demandflow.sources.files import align_to_schema, with_month_partitions, write_partitioned
 
 FORECAST_KEY = ("date", "family", "store_nbr", "model_name")
 REFRESHED = ("forecast", "model_version", "model_strategy", "best_iteration", "prediction_timestamp", "updated_at")
@@ -50,6 +51,41 @@ def sales_forecast_fact(sales: DataFrame, predictions: DataFrame, run_at: str) -
     )
 
 
+def store_forecast_fact(
+    target: str,
+    sales: DataFrame,
+    predictions: DataFrame,
+    run_at: str,
+    actuals: bool = True,
+    backtests: bool = True,
+    forecasts: bool = True,
+) -> DataFrame:
+    """Build the table in steps, the first replacing it and the others appending.
+
+    Partitions are year, month and model: a partition per day and model would
+    leave very small files.
+    """
+    steps = []
+    if actuals:
+        steps.append(actual_records(sales, run_at))
+    if backtests:
+        steps.append(backtest_records(predictions, sales, run_at))
+    if forecasts:
+        steps.append(forecast_records(predictions, run_at))
+    mode = "overwrite"
+    for records in steps:
+        write_partitioned(with_month_partitions(records), target, ("year", "month", "model_name"), mode)
+        mode = "append"
+    return read_forecast_fact(sales.sparkSession, target)
+
+
+def read_forecast_fact(spark: SparkSession, target: str) -> DataFrame:
+    """The stored fact with ``year`` and ``month`` left for pruning."""
+    parts = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+    schema = T.StructType([*FORECAST_FACT.fields, *parts])
+    return spark.read.schema(schema).parquet(target).select(*FORECAST_FACT.names, "year", "month")
+
+
 def refresh_forecasts(fact: DataFrame, predictions: DataFrame, model: str, run_at: str) -> DataFrame:
     """Replace the forecasts of one model in place and add its new ones; other records stay."""
     mine = (F.col("record_type") == "forecast") & F.col("model_name").eqNullSafe(F.lit(model))

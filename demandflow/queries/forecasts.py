@@ -9,7 +9,7 @@ from demandflow.plans import growth
 from demandflow.plans.models import scenario_features as what_if
 from demandflow.queries import query
 from demandflow.queries.common import RUN_AT, retail, rounded
-from demandflow.session import materialize
+from demandflow.session import materialize, new_dir
 
 YEARS = range(1995, 2002)
 
@@ -24,6 +24,13 @@ def sales_forecast_fact(spark: SparkSession, folder: str) -> DataFrame:
     return _fact(spark, folder)
 
 
+@query
+def stored_forecast_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact written in three steps as a partitioned table and read back."""
+    r = retail(spark, folder)
+    return gf.store_forecast_fact(new_dir(spark, "gold_sales_forecast"), r.stored_sales, r.model_pred, RUN_AT)
+
+
 @query
 def backtest_records(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)

@@ -625,11 +625,14 @@ SELECT reader, city, COUNT(*) AS row_count, SUM(sales) AS sales FROM gold
 JOIN (VALUES ('admin'), ('local'), ('elsewhere'), ('both')) r(reader)
   ON reader = 'admin' OR (reader IN ('local', 'both') AND city = 'NATION_11') OR (reader IN ('elsewhere', 'both') AND city <> 'NATION_11')
 GROUP BY 1, 2"""
+_BODIES["visible_cities"] = "SELECT DISTINCT city FROM gold WHERE city <> 'NATION_11'"
 _BODIES["row_policy_view"] = "SELECT city, store_nbr, date, family, sales FROM gold WHERE city <> 'NATION_11'"
 
 # --- forecast fact, scenarios, growth ------------------------------------------------------------
 
 _BODIES["sales_forecast_fact"] = "SELECT * FROM fact"
+_BODIES["stored_forecast_fact"] = """
+SELECT *, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month FROM fact"""
 _BODIES["backtest_records"] = "SELECT * FROM fact WHERE record_type = 'backtest'"
 _BODIES["refresh_forecasts"] = f"""
 , fresh AS (

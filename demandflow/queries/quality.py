@@ -93,6 +93,13 @@ def row_policy(spark: SparkSession, folder: str) -> DataFrame:
     return per_city.select(F.explode(F.array_compact(readers)).alias("reader"), "city", "row_count", "sales")
 
 
+@query
+def visible_cities(spark: SparkSession, folder: str) -> DataFrame:
+    """the cities a reader outside the city sees, sorted within partitions."""
+    publish_view(tiers(spark, folder).gold.select("city"), POLICY, READERS["elsewhere"], "cities_for_reader")
+    return spark.sql("SELECT DISTINCT city FROM cities_for_reader SORT BY city")
+
+
 @query
 def row_policy_view(spark: SparkSession, folder: str) -> DataFrame:
     """The fact as a reader outside the city sees it, through a view filtered by a SQL function."""

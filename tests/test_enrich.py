@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from demandflow.operators import encode as en
 from demandflow.operators.enrich import enrich, gold_daily_fact
-from demandflow.session import dimension_join, scratch_root
+from demandflow.session import dimension_join, materialize_all, scratch_root
+from demandflow.settings import cluster_settings, shuffle_partitions
 
 
 @pytest.fixture
@@ -92,3 +93,17 @@ def test_scratch_folder_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     root = scratch_root(spark)
     assert root == configured.rstrip("/") if configured else root == scratch_root(spark)
+
+
+def test_written_side_by_side(spark):
+    frames = {"a": spark.range(5), "b": spark.range(7)}
+    written = materialize_all(frames)
+    assert {n: df.count() for n, df in written.items()} == {"a": 5, "b": 7} and materialize_all({}) == {}
+
+
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(1 << 40, 8) == 5243
+    assert shuffle_partitions(100 << 40, 4000) == 50_000
+    settings = cluster_settings("hdfs:///shared", 1 << 40, 100)
+    assert settings["spark.checkpoint.dir"] == "hdfs:///shared" and settings["spark.sql.shuffle.partitions"] == "5243"
