@@ -3,17 +3,24 @@
 A merge returns the new content. The caller writes it to a new folder and points
 readers there; the folder being read is never overwritten. The source is written
 once, as it is read for the check, the updates and the inserts.
+``upsert_partitions`` instead replaces, in a partitioned table, just the partitions
+the source falls into.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandflow.operators.clean import keep_first
-from demandflow.session import is_small, materialize
+from demandflow.session import is_small, materialize, sized
+
+PRUNED_PARTITIONS = 1000  # up to this many partitions are named in the filter of the scan
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -45,6 +52,49 @@ def merge_upsert(
     return merged.unionByName(_unmatched(rows, target, keys, small))
 
 
+def upsert_partitions(
+    target: str,
+    schema: T.StructType,
+    source: DataFrame,
+    key: Sequence[str],
+    parts: Sequence[str],
+    update: Sequence[str] | None = None,
+    match: Column | None = None,
+) -> DataFrame:
+    """C15 on a stored table: only the partitions of the source rows are read, merged and replaced.
+
+    The key must determine the partition. ``match`` limits which target rows may
+    be updated, the others are kept. The merged partitions are complete in a
+    scratch table before the first of them is replaced, and repeating the call
+    after a failure gives the same result.
+    """
+    spark = source.sparkSession
+    table = spark.read.schema(schema).parquet(target)
+    rows = materialize(source.select(*schema.names), "merge_source")
+    touched = rows.select(*parts).distinct()
+    found = touched.limit(PRUNED_PARTITIONS + 1).collect()
+    if not found:
+        return table
+    if len(found) <= PRUNED_PARTITIONS:
+        affected = table.filter(reduce(or_, [reduce(and_, [F.col(p).eqNullSafe(r[p]) for p in parts]) for r in found]))
+    else:
+        affected = table.join(sized(touched), list(parts), "left_semi").select(*schema.names)
+    if match is None:
+        merged = merge_upsert(affected, rows, key, update)
+    else:
+        matches = F.coalesce(match, F.lit(False))
+        merged = merge_upsert(affected.filter(matches), rows, key, update).unionByName(affected.filter(~matches))
+    replaced = materialize(merged, "merged_partitions")
+    (
+        replaced.hint("rebalance", *parts)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts)
+        .parquet(target)
+    )
+    return spark.read.schema(schema).parquet(target)
+
+
 def _unmatched(rows: DataFrame, target: DataFrame, key: Sequence[str], small: bool) -> DataFrame:
     """Source rows whose key the target lacks.
 

@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandflow.operators.merge import merge_upsert
+from demandflow.operators.merge import merge_upsert, upsert_partitions
 from demandflow.sources.contracts import FORECAST_FACT
 from demandflow.sources.files import align_to_schema, with_month_partitions, write_partitioned
 
 FORECAST_KEY = ("date", "family", "store_nbr", "model_name")
+FACT_PARTITIONS = ("year", "month", "model_name")
+STORED_FACT = T.StructType(
+    [*FORECAST_FACT.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+)
 REFRESHED = ("forecast", "model_version", "model_strategy", "best_iteration", "prediction_timestamp", "updated_at")
 
 
@@ -74,16 +78,25 @@ def store_forecast_fact(
         steps.append(forecast_records(predictions, run_at))
     mode = "overwrite"
     for records in steps:
-        write_partitioned(with_month_partitions(records), target, ("year", "month", "model_name"), mode)
+        write_partitioned(with_month_partitions(records), target, FACT_PARTITIONS, mode)
         mode = "append"
     return read_forecast_fact(sales.sparkSession, target)
 
 
 def read_forecast_fact(spark: SparkSession, target: str) -> DataFrame:
     """The stored fact with ``year`` and ``month`` left for pruning."""
-    parts = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
-    schema = T.StructType([*FORECAST_FACT.fields, *parts])
-    return spark.read.schema(schema).parquet(target).select(*FORECAST_FACT.names, "year", "month")
+    return spark.read.schema(STORED_FACT).parquet(target).select(*STORED_FACT.names)
+
+
+def refresh_stored_forecasts(
+    spark: SparkSession, target: str, predictions: DataFrame, model: str, run_at: str
+) -> DataFrame:
+    """M4 on the stored fact: only the months and the model of the new predictions are rewritten."""
+    fresh = with_month_partitions(forecast_records(predictions, run_at, [model]))
+    upsert_partitions(
+        target, STORED_FACT, fresh, FORECAST_KEY, FACT_PARTITIONS, REFRESHED, match=F.col("record_type") == "forecast"
+    )
+    return read_forecast_fact(spark, target)
 
 
 def refresh_forecasts(fact: DataFrame, predictions: DataFrame, model: str, run_at: str) -> DataFrame:

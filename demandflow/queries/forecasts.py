@@ -31,6 +31,15 @@ def stored_forecast_fact(spark: SparkSession, folder: str) -> DataFrame:
     return gf.store_forecast_fact(new_dir(spark, "gold_sales_forecast"), r.stored_sales, r.model_pred, RUN_AT)
 
 
+@query
+def refresh_stored_forecasts(spark: SparkSession, folder: str) -> DataFrame:
+    """The retrained model's predictions merged into the stored fact, partition by partition."""
+    r = retail(spark, folder)
+    target = new_dir(spark, "gold_sales_forecast")
+    gf.store_forecast_fact(target, r.stored_sales, r.model_pred, RUN_AT)
+    return gf.refresh_stored_forecasts(spark, target, r.retrained_pred, "previous", "2002-03-01 00:00:00")
+
+
 @query
 def backtest_records(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)

@@ -634,7 +634,10 @@ _BODIES["sales_forecast_fact"] = "SELECT * FROM fact"
 _BODIES["stored_forecast_fact"] = """
 SELECT *, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month FROM fact"""
 _BODIES["backtest_records"] = "SELECT * FROM fact WHERE record_type = 'backtest'"
-_BODIES["refresh_forecasts"] = f"""
+
+
+def _refreshed(old: str) -> str:
+    return f"""
 , fresh AS (
   SELECT date, family, store_nbr, lag_4 AS forecast FROM lagged
   WHERE lag_4 IS NOT NULL AND date > (SELECT CAST(d - INTERVAL 120 DAY AS DATE) FROM last_sale))
@@ -643,11 +646,20 @@ SELECT o.date, o.family, o.store_nbr, o.sales, CASE WHEN f.date IS NULL THEN o.f
        o.model_strategy, CASE WHEN f.date IS NULL THEN o.best_iteration ELSE 4 END AS best_iteration,
        CASE WHEN f.date IS NULL THEN o.prediction_timestamp ELSE TIMESTAMP '2002-01-03 00:00:00' END AS prediction_timestamp,
        o.created_at, CASE WHEN f.date IS NULL THEN o.updated_at ELSE TIMESTAMP '2002-03-01 00:00:00' END AS updated_at
-FROM latest o LEFT JOIN fresh f ON o.model_name = 'previous' AND f.date = o.date AND f.family = o.family AND f.store_nbr = o.store_nbr
+FROM {old} o LEFT JOIN fresh f ON o.record_type = 'forecast' AND o.model_name = 'previous'
+  AND f.date = o.date AND f.family = o.family AND f.store_nbr = o.store_nbr
 UNION ALL
 SELECT date, family, store_nbr, NULL, forecast, 'test', 'forecast', 'previous', 'lag', 'v3', 'global', 4,
        TIMESTAMP '2002-01-03 00:00:00', TIMESTAMP '2002-03-01 00:00:00', TIMESTAMP '2002-03-01 00:00:00'
-FROM fresh ANTI JOIN (SELECT date, family, store_nbr FROM latest WHERE model_name = 'previous') USING (date, family, store_nbr)"""
+FROM fresh ANTI JOIN (SELECT date, family, store_nbr FROM {old} WHERE record_type = 'forecast' AND model_name = 'previous')
+  USING (date, family, store_nbr)"""
+
+
+_BODIES["refresh_forecasts"] = _refreshed("latest")
+_BODIES["refresh_stored_forecasts"] = (
+    _refreshed("fact").replace("\nSELECT o.date", "\n, merged AS (SELECT o.date", 1)
+    + ")\nSELECT *, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month FROM merged"
+)
 _BODIES["latest_forecast"] = "SELECT * FROM latest"
 _BODIES["combined_sales_view"] = """
 SELECT date, family, store_nbr, COALESCE(sales, forecast) AS value, CASE WHEN sales IS NOT NULL THEN 'actual' ELSE 'forecast' END AS data_type,

@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import pytest
 from conftest import day, rows
+from pyspark.sql import functions as F
 
 from demandflow.operators import merge as mg
+from demandflow.session import new_dir
+from demandflow.sources.files import write_partitioned
 
 SCHEMA = "date date, store bigint, sales double, promo int"
 
@@ -43,3 +46,25 @@ def test_empty_source_changes_nothing(spark):
     empty = target.filter("false")
     assert rows(mg.merge_upsert(target, empty, ["date", "store"])) == rows(target)
     assert rows(mg.merge_insert_only(target, empty, ["date", "store"])) == rows(target)
+
+
+@pytest.mark.parametrize("named", [1000, 0])
+def test_upsert_rewrites_only_touched_partitions(spark, monkeypatch, named):
+    monkeypatch.setattr(mg, "PRUNED_PARTITIONS", named)
+    path = new_dir(spark, "t")
+    rows_ = [(m, k, float(m * 10 + k), t) for m in (1, 2, 3) for k in (1, 2) for t in ("x", "y")]
+    table = spark.createDataFrame(rows_, "month int, k int, v double, t string").select("k", "v", "t", "month")
+    write_partitioned(table, path, ["month"])
+
+    def other_files():
+        return {f for f in spark.read.parquet(path).inputFiles() if "month=2" not in f and "month=9" not in f}
+
+    before = other_files()
+    source = spark.createDataFrame([(1, 99.0, "x", 2), (5, 5.0, "x", 9)], table.schema)
+    got = mg.upsert_partitions(path, table.schema, source, ["month", "k"], ["month"], ["v"], match=F.col("t") == "x")
+    expected = {(k, 99.0 if (m, k, t) == (2, 1, "x") else v, t, m) for m, k, v, t in rows_} | {(5, 5.0, "x", 9)}
+    assert {tuple(r) for r in got.collect()} == expected and got.count() == 13
+    assert other_files() == before
+    again = mg.upsert_partitions(path, table.schema, source, ["month", "k"], ["month"], ["v"], match=F.col("t") == "x")
+    assert {tuple(r) for r in again.collect()} == expected
+    assert mg.upsert_partitions(path, table.schema, source.filter("false"), ["month", "k"], ["month"]).count() == 13
