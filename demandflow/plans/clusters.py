@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandflow.operators.metrics import most_frequent
+from demandflow.session import side_by_side
 
 # Fixed values.
 CLUSTER_FEATURES = (
@@ -38,7 +39,7 @@ def fit_clusters(scaled: DataFrame, k: int) -> KMeansModel:
 
 def elbow_curve(scaled: DataFrame, ks: Sequence[int]) -> DataFrame:
     """Within-cluster sum of squares for each number of clusters."""
-    costs = [(k, float(fit_clusters(scaled, k).summary.trainingCost)) for k in ks]
+    costs = side_by_side(lambda k: (k, float(fit_clusters(scaled, k).summary.trainingCost)), ks)
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("inertia", T.DoubleType())])
     return scaled.sparkSession.createDataFrame(costs, schema)
 

@@ -14,7 +14,7 @@ from demandflow.operators.splits import TEST, TRAIN, part, split_by_date, split_
 from demandflow.plans.backtest import backtest_metrics, train_rows, with_test_folds
 from demandflow.plans.local_models import fit_predict_local
 from demandflow.plans.models import LOCAL_MODELS, ForecastRun, fit_global, make_estimator, predict_global
-from demandflow.session import materialize
+from demandflow.session import materialize, side_by_side
 
 
 def features_of(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
@@ -54,12 +54,13 @@ def model_backtest(features: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """
     d, b = cfg.data, cfg.evaluation.backtest
     tested = with_test_folds(features, d.group_cols, b.folds, b.fold_horizon, b.step, d.date_col)
-    scored = []
-    for fold in range(b.folds):
+
+    def scored(fold: int) -> DataFrame:
         train = train_rows(features, d.group_cols, fold, b.fold_horizon, b.step, d.date_col)
         test = tested.filter(F.col("fold") == fold).drop("fold", "step_ahead")
-        scored.append(_predict(train, test, cfg, b.fold_horizon).withColumn("fold", F.lit(fold)))
-    predictions = reduce(DataFrame.unionByName, scored)
+        return _predict(train, test, cfg, b.fold_horizon).withColumn("fold", F.lit(fold))
+
+    predictions = reduce(DataFrame.unionByName, side_by_side(scored, range(b.folds)))
     return backtest_metrics(predictions, d.group_cols, cfg.evaluation.mase_seasonality)
 
 

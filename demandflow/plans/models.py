@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 from typing import Any
 
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from demandflow.functions.scalars import from_log1p
 from demandflow.operators.metrics import regression_metrics, rmsle
 from demandflow.operators.splits import TEST, TRAIN, VALIDATION, part
-from demandflow.session import materialize, new_dir
+from demandflow.session import dimension_join, materialize, new_dir, side_by_side
 from demandflow.sources.files import write_partitioned
 
 ESTIMATORS: dict[str, type[Estimator]] = {
@@ -170,18 +171,16 @@ def train_by_strategy(
     elif strategy == "by_family_group":
         if family_groups is None:
             raise ValueError("by_family_group needs the family groups")
-        grouped = split.join(family_groups.select("family", "family_group"), "family")
+        grouped = dimension_join(split, family_groups.select("family", "family_group"), "family", "inner")
         models = ((name, rows.drop("family_group")) for name, rows in by_group(grouped, "family_group"))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    scored = [
-        fit_and_score(rows).withColumns({"model_name": F.lit(name), "model_strategy": F.lit(strategy)})
-        for name, rows in models
-    ]
-    result = scored[0]
-    for other in scored[1:]:
-        result = result.unionByName(other)
-    return result
+
+    def scored(model: tuple[str, DataFrame]) -> DataFrame:
+        name, rows = model
+        return fit_and_score(rows).withColumns({"model_name": F.lit(name), "model_strategy": F.lit(strategy)})
+
+    return reduce(DataFrame.unionByName, side_by_side(scored, models))
 
 
 def grid(**options: Sequence[Any]) -> list[dict[str, Any]]:
@@ -198,23 +197,19 @@ def tune(
 ) -> DataFrame:
     """RMSLE of each parameter set on the later validation rows, best first."""
     train, validation = materialize(part(split, TRAIN), "tune_train"), materialize(part(split, VALIDATION), "tune_val")
-    scored = []
-    for number, params in enumerate(trials):
+
+    def scored(trial: tuple[int, Mapping[str, Any]]) -> DataFrame:
+        number, params = trial
         model = fit_global(
             train, target_col, categorical, numeric, GBTRegressor(seed=42, **params), label=log_target(target_col)
         )
-        predictions = predict_log(model, validation, [], target_col)
-        scored.append(
-            rmsle(predictions).select(
-                F.lit(number).alias("trial"),
-                F.lit(", ".join(f"{k}={v}" for k, v in params.items())).alias("params"),
-                "rmsle",
-            )
+        return rmsle(predict_log(model, validation, [], target_col)).select(
+            F.lit(number).alias("trial"),
+            F.lit(", ".join(f"{k}={v}" for k, v in params.items())).alias("params"),
+            "rmsle",
         )
-    result = scored[0]
-    for other in scored[1:]:
-        result = result.unionByName(other)
-    return result.orderBy("rmsle", "trial")
+
+    return reduce(DataFrame.unionByName, side_by_side(scored, enumerate(trials))).orderBy("rmsle", "trial")
 
 
 def compare_models(predictions: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,10 +51,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side[T, R](fn: Callable[[T], R], items: Iterable[T], threads: int = 4) -> list[R]:
+    """``fn`` of each item, in order; the Spark jobs of a few items run at the same time."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(fn, items))
+
+
 def materialize_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """``materialize`` several independent frames, their jobs running side by side."""
-    with ThreadPoolExecutor(max(1, len(frames))) as pool:
-        return dict(zip(frames, pool.map(materialize, frames.values(), frames), strict=True))
+    return dict(side_by_side(lambda name: (name, materialize(frames[name], name)), frames))
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
