@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from demandflow.functions.calendar import series_calendar
 from demandflow.operators.quality import assert_unique
 
+# Fixed names of the aggregates a run may ask for.
 AGGREGATES = {"sum": F.sum, "mean": F.avg, "avg": F.avg, "max": F.max, "min": F.min}
 
 

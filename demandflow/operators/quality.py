@@ -67,6 +67,15 @@ def fd_violations(df: DataFrame, determinant: str, dependents: Sequence[str]) ->
     )
 
 
+def missing_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The distinct rows of one frame that another lacks.
+
+    Both sides are made distinct first, so a row that repeats very often is
+    shuffled once per task.
+    """
+    return left.distinct().subtract(right.distinct())
+
+
 def contract_report(contract: Contract, tables: Mapping[str, DataFrame]) -> DataFrame:
     """K2-K4: one row per declared rule of a table with the number of violations."""
     df = tables[contract.name]

@@ -21,6 +21,7 @@ from demandflow.operators.splits import TEST, TRAIN, VALIDATION, part
 from demandflow.session import dimension_join, materialize, new_dir, side_by_side
 from demandflow.sources.files import write_partitioned
 
+# Fixed names of the model types.
 ESTIMATORS: dict[str, type[Estimator]] = {
     "spark_gbt": GBTRegressor,
     "spark_rf": RandomForestRegressor,

@@ -16,7 +16,7 @@ YEARS = range(1995, 2002)
 
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    return gf.sales_forecast_fact(r.stored_sales, r.model_pred, RUN_AT)
+    return gf.sales_forecast_fact(r.stored_sales, r.stored_predictions, RUN_AT)
 
 
 @query
@@ -28,7 +28,7 @@ def sales_forecast_fact(spark: SparkSession, folder: str) -> DataFrame:
 def stored_forecast_fact(spark: SparkSession, folder: str) -> DataFrame:
     """The fact written in three steps as a partitioned table and read back."""
     r = retail(spark, folder)
-    return gf.store_forecast_fact(new_dir(spark, "gold_sales_forecast"), r.stored_sales, r.model_pred, RUN_AT)
+    return gf.store_forecast_fact(new_dir(spark, "gold_sales_forecast"), r.stored_sales, r.stored_predictions, RUN_AT)
 
 
 @query
@@ -36,14 +36,14 @@ def refresh_stored_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     """The retrained model's predictions merged into the stored fact, partition by partition."""
     r = retail(spark, folder)
     target = new_dir(spark, "gold_sales_forecast")
-    gf.store_forecast_fact(target, r.stored_sales, r.model_pred, RUN_AT)
+    gf.store_forecast_fact(target, r.stored_sales, r.stored_predictions, RUN_AT)
     return gf.refresh_stored_forecasts(spark, target, r.retrained_pred, "previous", "2002-03-01 00:00:00")
 
 
 @query
 def backtest_records(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    return gf.backtest_records(r.model_pred, r.stored_sales, RUN_AT)
+    return gf.backtest_records(r.stored_predictions, r.stored_sales, RUN_AT)
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandflow.operators import features as fe
 from demandflow.operators import splits as sp
-from demandflow.operators.quality import describe
+from demandflow.operators.quality import describe, missing_rows
 from demandflow.plans import backtest as bt
 from demandflow.plans import growth
 from demandflow.plans.baselines import seasonal_naive as baseline
@@ -160,7 +160,7 @@ def set_difference(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
     split = sp.split_last_days(r.sales, last=r.last_sale)
     pairs = split.select("split", "family", "sales")
-    return sp.part(pairs, sp.TRAIN).subtract(sp.part(pairs, sp.VALIDATION))
+    return missing_rows(sp.part(pairs, sp.TRAIN), sp.part(pairs, sp.VALIDATION))
 
 
 # --- backtests -----------------------------------------------------------------------------------

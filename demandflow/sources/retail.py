@@ -250,6 +250,11 @@ class Retail:
             )
         )
 
+    @cached_property
+    def stored_predictions(self) -> DataFrame:
+        """The same as a written table."""
+        return materialize(self.model_pred, "predictions")
+
     @cached_property
     def retrained_pred(self) -> DataFrame:
         """Predictions of the retrained first model, over a longer horizon than before."""

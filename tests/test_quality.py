@@ -75,3 +75,9 @@ def test_row_policy(spark, groups, visible):
     policy.register(spark, groups, "may_see")
     df.createOrReplaceTempView("cities")
     assert {r.city for r in spark.sql("SELECT city FROM cities WHERE may_see(city)").collect()} == visible
+
+
+def test_missing_rows_are_distinct_and_null_safe(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    right = spark.createDataFrame([(2, None), (3, "d")], "k int, v string")
+    assert rows(q.missing_rows(left, right)) == [(1, "a"), (3, "c")]
