@@ -120,6 +120,7 @@ JOIN codes cs ON cs.category = 'state' AND cs.value = s.state JOIN codes ct ON c
 
 
 TABLES["training"] = _enriched("train", "oil", "t.sales,")
+TABLES["training_ahead"] = _enriched("train", "oil_ahead", "t.sales,")
 TABLES["testing"] = _enriched("test", "oil_ahead", "")
 
 TABLES["series"] = """
@@ -196,6 +197,15 @@ UNION ALL
 SELECT year, store_nbr, family, city, '2x_promos', SUM(total_sales)
 FROM segments WHERE data_type IN ('Actual', 'Forecast - onpromotion_2x') GROUP BY ALL"""
 
+# The published marts start from the cleaned rows of the gold fact instead of the daily sales.
+TABLES["published_totals"] = """
+SELECT DISTINCT CAST(year(date) AS INT) AS year, store_nbr, family, city, scenario FROM (
+  SELECT date, store_nbr, family, city, 'Actual' AS data_type FROM gold
+  UNION ALL SELECT date, store_nbr, family, city, data_type FROM stack WHERE data_type <> 'Actual') CROSS JOIN last_sale
+JOIN (VALUES ('1x_promos', 'Actual'), ('1x_promos', 'Forecast - current'), ('2x_promos', 'Actual'),
+             ('2x_promos', 'Forecast - onpromotion_2x')) s(scenario, data_type) USING (data_type)
+WHERE year(date) >= year(d) - 1 AND month(date) <= month(d)"""
+
 TABLES["growth"] = """
 SELECT scenario, family, AVG(total_sales) FILTER (year = 2000) AS before, AVG(total_sales) FILTER (year = 2001) AS latest,
        (AVG(total_sales) FILTER (year = 2001) / AVG(total_sales) FILTER (year = 2000) - 1) * 100 AS ytd_growth
@@ -289,6 +299,34 @@ _BODIES: dict[str, str] = {}
 # --- tiers ---------------------------------------------------------------------------------------
 
 _BODIES["gold_daily_fact"] = "SELECT * FROM gold"
+_BODIES["published_tables"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {rows}"
+    for name, rows in {
+        "bronze_stores": "stores",
+        "bronze_transactions": "transactions",
+        "bronze_oil": "oil_raw",
+        "bronze_holidays": "holidays_raw",
+        "bronze_train": "sales_raw",
+        "bronze_test": "future_raw",
+        "silver_stores": "stores",
+        "silver_oil": "oil_ahead",
+        "silver_train": "train",
+        "silver_test": "test",
+        "silver_holidays": "holidays",
+        "silver_codes": "codes",
+        "silver_test_predictions": "scenario_pred",
+        "silver_validation_predictions": "validation_pred",
+        "silver_model_predictions": "model_pred WHERE prediction IS NOT NULL",
+        "silver_training": "training_ahead",
+        "silver_testing": "testing",
+        "gold_daily_store_family": "gold",
+        "gold_sales_forecast": "fact",
+        "platinum_totals": "(SELECT DISTINCT year, store_nbr, family, scenario FROM published_totals)",
+        "platinum_city_cagr": "(SELECT DISTINCT scenario, city FROM published_totals)",
+        "platinum_family_cagr": "(SELECT DISTINCT scenario, family FROM published_totals)",
+        "platinum_family_cagr_delta": "(SELECT DISTINCT family FROM published_totals)",
+    }.items()
+)
 _BODIES["gold_with_transactions"] = """
 SELECT g.*, x.transactions FROM gold g LEFT JOIN transactions x ON x.date = g.date AND x.store_nbr = g.store_nbr"""
 _BODIES["enriched_training"] = "SELECT * FROM training"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,10 @@ from demandflow.functions import calendar as cal
 from demandflow.functions import scalars
 from demandflow.operators import clean, encode
 from demandflow.operators.quality import daily_total
+from demandflow.plans.publish import publish_tiers
 from demandflow.queries import query
-from demandflow.queries.common import retail, rounded, tiers
+from demandflow.queries.common import RUN_AT, retail, rounded, tiers
+from demandflow.session import new_dir
 from demandflow.sources.retail import NATIONAL
 
 STATES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -21,6 +25,16 @@ def gold_daily_fact(spark: SparkSession, folder: str) -> DataFrame:
     return tiers(spark, folder).gold
 
 
+@query
+def published_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Every table of every tier, written in order, with its row count."""
+    tables = publish_tiers(retail(spark, folder), new_dir(spark, "lake"), RUN_AT)
+    counts = [
+        tables[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name in tables.names
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def gold_with_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return tiers(spark, folder).gold_with_transactions
