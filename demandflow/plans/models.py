@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from demandflow.functions.scalars import from_log1p
 from demandflow.operators.metrics import regression_metrics, rmsle
-from demandflow.operators.splits import TEST, TRAIN, VALIDATION, part
+from demandflow.operators.splits import TRAIN, VALIDATION, part
 from demandflow.session import dimension_join, materialize, new_dir, side_by_side
 from demandflow.sources.files import write_partitioned
 
