@@ -246,7 +246,7 @@ def split_summary(df: DataFrame, y: str = "y", prediction: str = "prediction") -
 
 
 def forecast_errors(df: DataFrame, y: str = "y", prediction: str = "prediction", date_col: str = "date") -> DataFrame:
-    """Error, absolute and percent error of every row with Monday-based calendar columns."""
+    """Error, absolute and percent error of every row with Monday-based calendar columns."""
     err = _error(y, prediction)
     return df.withColumns(
         {
@@ -258,6 +258,24 @@ def forecast_errors(df: DataFrame, y: str = "y", prediction: str = "prediction",
     )
 
 
+def prediction_sample(
+    df: DataFrame, order: Sequence[str], n: int = 1000, y: str = "y", prediction: str = "prediction"
+) -> DataFrame:
+    """The first rows with how far the prediction lies above the actual, and the size of that in percent."""
+    over = F.col(prediction) - F.col(y)
+    return (
+        df.withColumns(
+            {
+                "error": over,
+                "abs_error": F.abs(over),
+                "pct_error": F.abs(F.try_divide(over, F.col(y))) * 100,
+            }
+        )
+        .orderBy(*order)
+        .limit(n)
+    )
+
+
 def family_daily(df: DataFrame, y: str = "y", prediction: str = "prediction") -> DataFrame:
     """Totals per family and day over all stores."""
     return df.groupBy("family", "date").agg(F.sum(y).alias(y), F.sum(prediction).alias(prediction))

@@ -154,8 +154,10 @@ def accuracy_rollup(accuracy: DataFrame, digits: int = 2) -> DataFrame:
     """Mean accuracy per model and family, rounded."""
     return accuracy.groupBy("model_name", "family").agg(
         F.sum("num_predictions").alias("total_predictions"),
-        *[F.round(F.avg(c), digits).alias(f"avg_{c}") for c in ("mae", "mape", "rmse")],
-    )
+        F.round(F.avg("mae"), digits).alias("avg_mae"),
+        F.round(F.avg("mape") * 100, digits).alias("avg_mape_pct"),
+        F.round(F.avg("rmse"), digits).alias("avg_rmse"),
+    ).orderBy("model_name", "family")
 
 
 def record_type_summary(fact: DataFrame) -> DataFrame:
@@ -165,30 +167,31 @@ def record_type_summary(fact: DataFrame) -> DataFrame:
     )
 
 
-def family_drilldown(fact: DataFrame, family: str, store_nbr: int, n: int) -> DataFrame:
+def family_drilldown(fact: DataFrame, family: str, store_nbr: int, n: int = 10) -> DataFrame:
     """the newest backtest days of one family and store with percent error."""
     err = F.abs(F.col("sales") - F.col("forecast"))
     return (
         fact.filter((F.col("record_type") == "backtest") & (F.col("family") == family) & (F.col("store_nbr") == store_nbr))
         .select(
             "date",
-            "sales",
+            "store_nbr",
+            F.col("sales").alias("actual"),
             "forecast",
+            err.alias("absolute_error"),
+            F.try_divide(err * 100, F.col("sales")).alias("pct_error"),
             "model_name",
             "model_version",
-            err.alias("abs_error"),
-            F.try_divide(err * 100, F.col("sales")).alias("pct_error"),
         )
         .orderBy(F.desc("date"), "model_name", "model_version")
         .limit(n)
     )
 
 
-def future_forecasts(fact: DataFrame, as_of: str, n: int) -> DataFrame:
+def future_forecasts(fact: DataFrame, as_of: str, n: int = 20) -> DataFrame:
     """the first forecasts from a given day on."""
     return (
         latest_forecasts(fact.filter(F.col("date") >= F.lit(as_of).cast("date")))
-        .select("date", "family", "store_nbr", "model_name", "forecast")
+        .select("date", "family", "store_nbr", "forecast", "model_name", "model_version")
         .orderBy("date", "family", "store_nbr", "model_name")
         .limit(n)
     )

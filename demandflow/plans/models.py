@@ -196,15 +196,15 @@ def tune(
     categorical: Sequence[str],
     numeric: Sequence[str],
 ) -> DataFrame:
-    """RMSLE of each parameter set on the later validation rows, best first."""
-    train, validation = materialize(part(split, TRAIN), "tune_train"), materialize(part(split, VALIDATION), "tune_val")
+    """RMSLE of each parameter set on the later validation rows, best first.
+
+    ``split`` is read by every trial, so pass a written table.
+    """
 
     def scored(trial: tuple[int, Mapping[str, Any]]) -> DataFrame:
         number, params = trial
-        model = fit_global(
-            train, target_col, categorical, numeric, GBTRegressor(seed=42, **params), label=log_target(target_col)
-        )
-        return rmsle(predict_log(model, validation, [], target_col)).select(
+        model = fit_log_boosting(split, target_col, categorical, numeric, params)
+        return rmsle(predict_log(model, part(split, VALIDATION), [], target_col)).select(
             F.lit(number).alias("trial"),
             F.lit(", ".join(f"{k}={v}" for k, v in params.items())).alias("params"),
             "rmsle",
@@ -213,6 +213,18 @@ def tune(
     return reduce(DataFrame.unionByName, side_by_side(scored, enumerate(trials))).orderBy("rmsle", "trial")
 
 
+def fit_tuned(
+    split: DataFrame,
+    trials: Sequence[Mapping[str, Any]],
+    target_col: str,
+    categorical: Sequence[str],
+    numeric: Sequence[str],
+) -> PipelineModel:
+    """The model of the best parameter set."""
+    best = tune(split, trials, target_col, categorical, numeric).first()
+    return fit_log_boosting(split, target_col, categorical, numeric, trials[best["trial"]])
+
+
 def compare_models(predictions: DataFrame) -> DataFrame:
     """Error figures per model and split from the stacked predictions."""
     return regression_metrics(predictions, [c for c in ("model_name", "split") if c in predictions.columns])

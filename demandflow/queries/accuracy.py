@@ -95,6 +95,11 @@ def forecast_errors(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(m.forecast_errors(retail(spark, folder).pred), "pct_error")
 
 
+@query
+def prediction_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(m.prediction_sample(retail(spark, folder).pred, ["date", "family", "state"]), "pct_error")
+
+
 def _family_errors(spark: SparkSession, folder: str) -> DataFrame:
     return m.forecast_errors(m.family_daily(retail(spark, folder).pred))
 

@@ -80,12 +80,12 @@ def record_type_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def family_drilldown(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(gf.family_drilldown(_fact(spark, folder), "PROMO", 1, 30), "pct_error")
+    return rounded(gf.family_drilldown(_fact(spark, folder), "PROMO", 1), "pct_error")
 
 
 @query
 def future_forecasts(spark: SparkSession, folder: str) -> DataFrame:
-    return gf.future_forecasts(_fact(spark, folder), "2001-10-15", 100)
+    return gf.future_forecasts(_fact(spark, folder), "2001-10-15")
 
 
 # --- scenarios and growth ------------------------------------------------------------------------

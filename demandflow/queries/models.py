@@ -36,6 +36,7 @@ FOREST_FEATURES = (
     "onpromotion", "sales_lag_7", "sales_lag_14", "sales_rolling_mean_7", "promo_rolling_sum_7", "dow", "month", "year",
 )
 SMALL_TREES = {"maxDepth": 4, "maxIter": 10}
+TRIALS = mo.grid(maxDepth=[3, 5], maxIter=[5, 10]) + [{"maxDepth": 4, "maxIter": 8, "stepSize": 0.2}]
 
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,9 +156,17 @@ def fleet_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def tuning_grid(spark: SparkSession, folder: str) -> DataFrame:
-    split = sp.split_last_days(_features(spark, folder))
-    trials = mo.grid(maxDepth=[3, 5], maxIter=[5, 10]) + [{"maxDepth": 4, "maxIter": 8, "stepSize": 0.2}]
-    return mo.tune(split, trials, "sales", SERIES, NUMERIC)
+    split = materialize(sp.split_last_days(_features(spark, folder)), "split")
+    return mo.tune(split, TRIALS, "sales", SERIES, NUMERIC)
+
+
+@query
+def tuned_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Validation predictions of the model with the best parameters."""
+    split = materialize(sp.split_last_days(_features(spark, folder)), "split")
+    model = mo.fit_tuned(split, TRIALS, "sales", SERIES, NUMERIC)
+    scored = mo.predict_log(model, sp.part(split, sp.VALIDATION), KEYS, "sales")
+    return m.residuals(scored, "y", "prediction")
 
 
 @query

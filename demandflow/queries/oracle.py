@@ -559,6 +559,9 @@ SELECT split, COUNT(*) AS row_count, MIN(date) AS min_date, MAX(date) AS max_dat
        ROUND(AVG(prediction), 6) AS prediction_mean, ROUND(STDDEV_SAMP(prediction), 6) AS prediction_std,
        MIN(prediction) AS prediction_min, MAX(prediction) AS prediction_max FROM pred_split GROUP BY 1"""
 _BODIES["forecast_errors"] = "SELECT * REPLACE (ROUND(pct_error, 6) AS pct_error) FROM errors"
+_BODIES["prediction_sample"] = """
+SELECT *, prediction - y AS error, ABS(prediction - y) AS abs_error, ROUND(ABS((prediction - y) / NULLIF(y, 0)) * 100, 6) AS pct_error
+FROM pred ORDER BY date, family, state LIMIT 1000"""
 _BODIES["error_summary"] = """
 SELECT ROUND(AVG(error), 6) AS mean_error, ROUND(AVG(abs_error), 6) AS mae, ROUND(AVG(pct_error), 6) AS mean_pct_error,
        ROUND(SQRT(AVG(error * error)), 6) AS rmse FROM family_errors"""
@@ -707,17 +710,17 @@ _BODIES["forecast_accuracy"] = """
 SELECT * REPLACE (ROUND(mae, 6) AS mae, ROUND(mape, 6) AS mape, ROUND(rmse, 6) AS rmse) FROM accuracy"""
 _BODIES["accuracy_rollup"] = """
 SELECT model_name, family, CAST(SUM(num_predictions) AS BIGINT) AS total_predictions, ROUND(AVG(mae), 2) AS avg_mae,
-       ROUND(AVG(mape), 2) AS avg_mape, ROUND(AVG(rmse), 2) AS avg_rmse FROM accuracy GROUP BY 1, 2"""
+       ROUND(AVG(mape) * 100, 2) AS avg_mape_pct, ROUND(AVG(rmse), 2) AS avg_rmse FROM accuracy GROUP BY 1, 2 ORDER BY 1, 2"""
 _BODIES["record_type_summary"] = """
 SELECT record_type, model_name, COUNT(*) AS record_count, MIN(date) AS min_date, MAX(date) AS max_date FROM fact GROUP BY 1, 2"""
 _BODIES["family_drilldown"] = """
-SELECT date, sales, forecast, model_name, model_version, ABS(sales - forecast) AS abs_error,
-       ROUND(ABS(sales - forecast) * 100 / NULLIF(sales, 0), 6) AS pct_error
+SELECT date, store_nbr, sales AS actual, forecast, ABS(sales - forecast) AS absolute_error,
+       ROUND(ABS(sales - forecast) * 100 / NULLIF(sales, 0), 6) AS pct_error, model_name, model_version
 FROM fact WHERE record_type = 'backtest' AND family = 'PROMO' AND store_nbr = 1
-ORDER BY date DESC, model_name, model_version LIMIT 30"""
+ORDER BY date DESC, model_name, model_version LIMIT 10"""
 _BODIES["future_forecasts"] = """
-SELECT date, family, store_nbr, model_name, forecast FROM latest WHERE date >= DATE '2001-10-15'
-ORDER BY date, family, store_nbr, model_name LIMIT 100"""
+SELECT date, family, store_nbr, forecast, model_name, model_version FROM latest WHERE date >= DATE '2001-10-15'
+ORDER BY date, family, store_nbr, model_name LIMIT 20"""
 _BODIES["scenario_features"] = """
 SELECT date, store_nbr, family, onpromotion, 'current' AS scenario FROM future
 UNION ALL SELECT date, store_nbr, family, onpromotion * 2, 'onpromotion_2x' FROM future"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import day
 
 from demandflow.operators.clean import fill_gaps
 from demandflow.operators.features import active_period, densify, stable_period

@@ -62,7 +62,7 @@ def test_latest_forecast_prefers_time_then_version(fact):
 def test_combined_view_and_future(fact):
     view = gf.combined_view(fact)
     assert {r.data_type: r["count"] for r in view.groupBy("data_type").count().collect()} == {"actual": 3, "forecast": 4}
-    assert rows(gf.future_forecasts(fact, str(day(2)), 1)) == [(day(2), "F", 1, "a", 2.5)]
+    assert rows(gf.future_forecasts(fact, str(day(2)), 1)) == [(day(2), "F", 1, 2.5, "a", "v2")]
 
 
 def test_accuracy_ignores_zero_sales_in_mape(fact, sales):

@@ -128,3 +128,8 @@ def test_fleet_summary(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0, 0.1), ("b", 2.0, 1.0, 0.9), ("c", 3.0, 1.0, 0.4)], "family string, rmse double, mae double, r2 double")
     got = m.fleet_summary(df, "family").first()
     assert (got.models, got.median_r2, got.best_family, got.worst_family) == (3, 0.4, "b", "a")
+
+
+def test_prediction_sample_is_ordered_and_signed_by_the_prediction(pred):
+    got = m.prediction_sample(pred.filter("s = 'short'").union(pred.filter("s = 'zero'")), ["s", "date"], 2).collect()
+    assert [(r.s, r.error, r.abs_error, r.pct_error) for r in got] == [("short", -2.0, 2.0, 50.0), ("zero", 1.0, 1.0, None)]

@@ -108,9 +108,11 @@ def test_strategies(spark, split):
 
 
 def test_tuning_orders_trials(split):
-    two = sp.split_last_days(split.drop("split"), 28)
+    two = materialize(sp.split_last_days(split.drop("split"), 28), "split")
     got = mo.tune(two, mo.grid(maxDepth=[2], maxIter=[2, 4]), "sales", ["family"], NUMERIC).collect()
     assert len(got) == 2 and got[0].rmsle <= got[1].rmsle
+    model = mo.fit_tuned(two, mo.grid(maxDepth=[2], maxIter=[2, 4]), "sales", ["family"], NUMERIC)
+    assert mo.predict_log(model, sp.part(two, sp.VALIDATION), KEYS, "sales").filter("prediction IS NULL").count() == 0
     assert mo.grid(a=[1, 2], b=[3]) == [{"a": 1, "b": 3}, {"a": 2, "b": 3}]
 
 
