@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()  # applications whose executors have the package
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,6 +42,24 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/demandflow/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``, once per application.
+
+    Python functions are pickled by module reference; without this a job fails on
+    every executor that does not happen to have the source folder on its path.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="demandflow-package-")
+    archive = shutil.make_archive(
+        os.path.join(folder, "demandflow-src"), "zip", os.path.dirname(package), os.path.basename(package)
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table and continue from the written table.
 
