@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +20,20 @@ def text_of(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(df[name], F.lit(""))
 
 
-def null_safe(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Equality of the named columns that also matches null with null."""
+def join_null_safe(left: DataFrame, right: DataFrame, *names: str, how: str = "inner") -> DataFrame:
+    """Join on the named columns, null matching null; the keys come from ``left``, other names must differ."""
+    renamed = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
     condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+    for n in names:
+        condition = condition & F.col(n).eqNullSafe(F.col(f"_right_{n}"))
+    return left.join(renamed, condition, how).drop(*[f"_right_{n}" for n in names])
 
 
 def whole_row(df: DataFrame) -> Column:
     """All columns of a row as one struct, so that working columns cannot clash with them."""
     return F.struct(*[df[f"`{c}`"] for c in df.columns])
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

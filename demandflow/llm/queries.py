@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandflow.llm import packing
+from demandflow.llm import dedup, mixing, near_dup, packing, pii, quality_rules, secret_scan, templates
 from demandflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,83 @@ def query(fn: Query) -> Query:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of those with equal text."""
+    found = dedup.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+ORACLE_SQL["op4_exact_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM texts WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+
+@query
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of the sources takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, distances and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judged(docs, quality_rules.Rules(), docs["doc_id"])
+
+
+@query
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: numbers by kind, digest of the base spans, all spans."""
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = [k.name for k in pii.KINDS if k.base]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint")
+
+    of_base = F.filter("findings", lambda f: f["kind"].isin(base))
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(pii.joined_spans(of_base), 256).alias("base_sha256"),
+        pii.joined_spans(F.col("findings")).alias("spans"),
+        F.array_max(F.transform("findings", lambda f: f["score"])).alias("max_score"),
+    )
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: numbers by kind, digest of the base spans, all spans."""
+    found = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    base = secret_scan.KINDS[:3]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint")
+
+    of_base = F.filter("findings", lambda f: f["kind"].isin(*base))
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.joined_spans(of_base), 256).alias("base_sha256"),
+        secret_scan.joined_spans(F.col("findings")).alias("spans"),
+        F.array_max(F.transform("findings", lambda f: f["novelty"])).alias("max_novelty"),
+    )
+
+
+@query
+def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return templates.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near-duplicates."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
