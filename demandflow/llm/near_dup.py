@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandflow.llm.common import text_of
+from demandflow.llm.common import text_of, whole_row
 from demandflow.session import materialize, ship_package, sized
 
 WORDS = 5  # of a shingle
@@ -35,7 +35,7 @@ LEADER_ROUNDS = 4
 CHUNK_BYTES = 1 << 20  # texts are hashed together up to this size
 SEED = 77
 
-SIGNED = "doc_id bigint, n_shingles bigint, digest string, signature array<int>"
+SIGNED = "locator bigint, doc_id bigint, n_shingles bigint, digest string, signature array<int>"
 SETS = "id bigint, digest string, shingles array<bigint>"
 
 
@@ -142,20 +142,23 @@ def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(kind.to_pandas_dtype()), kind))
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, locator: Column) -> DataFrame:
     """Size and digest of every row's shingle set, and its signature; digest and signature are missing for empty sets."""
+    names = ["locator", "doc_id", "n_shingles", "digest", "signature"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, signatures = [], [], []
-            for _, shingles in chunked(batch, 1):
+            for _, shingles in chunked(batch, 2):
                 sizes.append(len(shingles))
                 digests.append(digest_of(shingles) if len(shingles) else None)
                 signatures.append(signature(shingles) if len(shingles) else np.empty(0, np.int32))
-            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), lists(signatures, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "digest", "signature"])
+            found = [pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), lists(signatures, pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names)
 
-    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(sign, SIGNED)
+    doc_id = docs["doc_id"].cast("bigint").alias("doc_id")
+    texts = docs.select(locator.cast("bigint").alias("locator"), doc_id, text_of(docs).alias("text"))
+    return materialize(texts.mapInArrow(sign, SIGNED), "signatures")
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -353,26 +356,34 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``.
+def grouped(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """locator, doc_id, n_shingles, digest, component and component_id of the signed ``rows`` of ``docs``.
 
-    Texts of at least five words are sets of shingles, shorter ones a single shingle; null and empty texts have an empty
-    set and are linked with nothing. component_id is the smallest doc_id that links lead to, kept says that it is the
-    row's own. Rows with the same set are linked whatever their doc_id; a null doc_id is
-    passed over for the smallest, and its row is kept only if the component has no other. Rows with
-    equal doc_id and set are kept or not together. An empty table gives no rows; columns other than doc_id and text are
-    not looked at.
+    Rows with an empty set have no component.
     """
-    ship_package(docs.sparkSession)
-    rows = materialize(signed(docs), "signatures")
     classes = classes_of(rows)
     labels = components(docs, classes)
     named = classes.join(labels, "id", "left").select(
         "digest", "doc_id", F.coalesce("component", "id").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_digest = named.join(smallest, "component").select("digest", "component_id")
-    out = rows.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
+    by_digest = named.join(smallest, "component").select("digest", "component", "component_id")
+    return rows.select("locator", "doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``.
+
+    Texts of at least five words are sets of shingles, shorter ones a single shingle;
+    null and empty texts have an empty set and are linked with nothing. component_id
+    is the smallest doc_id that links lead to, kept says that it is the row's own.
+    Rows with the same set are linked whatever their doc_id; a null doc_id is passed
+    over for the smallest, and its row is kept only if the component has no other.
+    Rows with equal doc_id and set are kept or not together. An empty table gives no
+    rows; columns other than doc_id and text are not looked at.
+    """
+    ship_package(docs.sparkSession)
+    out = grouped(signed(docs, F.lit(None)), docs)
     component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -380,7 +391,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are not kept, in its own columns."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = materialize(gone, "near_copies")
-    return docs.join(sized(gone), docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """``docs`` with one row of each component, that of the smallest doc_id, in its own columns.
+
+    Rows with empty sets stay. Of several rows with that doc_id the first as written stays.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    stored = materialize(
+        docs.select(whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("locator")), "near_dup_rows"
+    )
+    texts = stored.select("locator", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    found = materialize(grouped(signed(texts, F.col("locator")), texts).where("digest IS NOT NULL"), "near_dup_groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "locator"))
+    stay = found.groupBy("component").agg(first.alias("f")).select(F.col("f.locator").alias("locator"))
+    gone = materialize(found.select("locator").join(stay, "locator", "left_anti"), "near_copies")
+    return stored.join(sized(gone), "locator", "left_anti").select("row.*")

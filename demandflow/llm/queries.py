@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm import dedup, mixing, near_dup, packing, pii, quality_rules, secret_scan, templates
+import corpus_pipeline
+from demandflow.llm import (
+    byte_cnn,
+    dedup,
+    mixing,
+    near_dup,
+    packing,
+    pii,
+    quality_rules,
+    secret_scan,
+    templates,
+    toxicity,
+)
 from demandflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +120,20 @@ def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near-duplicates."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return byte_cnn.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
