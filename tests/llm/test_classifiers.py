@@ -9,7 +9,7 @@ import pytest
 
 from demandflow.llm import byte_cnn, toxicity
 
-LARGER = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"
 SCORES = {"quality": byte_cnn.quality_scores, "toxic": toxicity.toxicity_scores}
 HELD_OUT = {"quality": (5, 0), "toxic": (4, 2)}
 
@@ -26,7 +26,7 @@ def test_held_out_documents(spark, label):
     known = [(r[label], scores[r["doc_id"]]) for r in labels.collect()]
     outside = [(y, s["predicted"]) for y, s in known if s["held_out"]]
     right = [np.mean([p == y for y, p in outside if y == k]) for k in (0, 1)]
-    assert np.mean([p == y for y, p in outside]) >= 0.93 and min(right) >= 0.75, right
+    assert np.mean([p == y for y, p in outside]) >= 0.965 and min(right) >= 0.85, right
 
 
 @pytest.mark.parametrize("label", SCORES)
