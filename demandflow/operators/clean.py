@@ -60,9 +60,9 @@ def fill_gaps(
 
     Every known value is repeated until the day before the next one, and the
     first also back to the first listed day, so one shuffle by series is all it
-    takes. ``df`` has one row per date (and series): a window partition never
-    holds more rows than the calendar has days. ``until`` (one row, one date)
-    extends a series beyond its own end.
+    takes. Of several known values of a date the largest is taken. A window
+    partition holds the rows of a series, which are the days of the calendar
+    and their repeats. ``until`` (one row, one date) extends a series beyond its own end.
     """
     keys = list(series_cols)
     rows = df.select(*keys, F.to_date(date_col).alias(date_col), F.col(value_col).cast("double").alias(value_col))
@@ -72,10 +72,13 @@ def fill_gaps(
     )
     if until is not None:
         known = known.withColumn("_last", F.greatest("_last", until.scalar()))
-    in_order = whole.orderBy(date_col)
-    start = F.when(F.lag(date_col).over(in_order).isNull(), F.col("_first")).otherwise(F.col(date_col))
-    end = F.coalesce(F.date_sub(F.lead(date_col).over(in_order), 1), "_last")
-    return known.withColumns({"_start": start, "_end": end}).select(
+    in_order = whole.orderBy(date_col, value_col)
+    start = F.when(F.rank().over(whole.orderBy(date_col)) == 1, F.col("_first")).otherwise(F.col(date_col))
+    following = F.lead(date_col).over(in_order)
+    end = F.coalesce(F.date_sub(following, 1), "_last")
+    last_of_day = following.isNull() | (following > F.col(date_col))
+    spans = known.withColumns({"_start": start, "_end": end, "_last_of_day": last_of_day}).where("_last_of_day")
+    return spans.select(
         *keys, F.explode(F.sequence("_start", "_end", F.expr("interval 1 day"))).alias(date_col), value_col
     )
 

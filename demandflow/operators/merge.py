@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +20,21 @@ from pyspark.sql import types as T
 from demandflow.operators.clean import keep_first
 from demandflow.session import is_small, materialize, sized
 
-PRUNED_PARTITIONS = 1000  # up to this many partitions are named in the filter of the scan
+
+def _same(keys: Sequence[str], renamed: str) -> Column:
+    """The keys equal those with the prefix ``renamed``; a null key equals a null key."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{renamed}{k}")) for k in keys])
+
+
+def _renamed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """C14: add source rows whose key the target lacks; among source rows of one key the first is taken."""
+    """C14: add source rows whose key the target lacks; among source rows of one key the first is taken.
+
+    A null key is a key like others.
+    """
     rows = materialize(keep_first(source.select(*target.columns), key), "merge_source")
     return target.unionByName(_unmatched(rows, target, key, is_small(rows)))
 
@@ -35,7 +45,8 @@ def merge_upsert(
     """Update the named columns of matched rows, insert unmatched source rows whole.
 
     ``update`` defaults to all non-key columns. Several source rows for one key
-    are an error, as the result would depend on their order.
+    are an error, as the result would depend on their order. Null keys match null
+    keys, so repeating an upsert changes nothing.
     """
     keys = list(key)
     columns = target.columns
@@ -45,8 +56,9 @@ def merge_upsert(
     if (per_key.agg(F.max("n")).first()[0] or 0) > 1:
         raise ValueError(f"source has several rows for one {keys}")
     small = is_small(rows)
-    renamed = rows.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_matched"))
-    merged = target.join(F.broadcast(renamed) if small else renamed, keys, "left").select(
+    named = [F.col(c).alias(f"_new_{c}") for c in dict.fromkeys([*keys, *changed])]
+    renamed = rows.select(*named, F.lit(True).alias("_matched"))
+    merged = target.join(F.broadcast(renamed) if small else renamed, _same(keys, "_new_"), "left").select(
         *[F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in changed else c for c in columns]
     )
     return merged.unionByName(_unmatched(rows, target, keys, small))
@@ -63,7 +75,7 @@ def upsert_partitions(
 ) -> DataFrame:
     """C15 on a stored table: only the partitions of the source rows are read, merged and replaced.
 
-    The key must determine the partition. ``match`` limits which target rows may
+    The key must determine the partition; a null partition is one like others. ``match`` limits which target rows may
     be updated, the others are kept. The merged partitions are complete in a
     scratch table before the first of them is replaced, and repeating the call
     after a failure gives the same result.
@@ -71,14 +83,17 @@ def upsert_partitions(
     spark = source.sparkSession
     table = spark.read.schema(schema).parquet(target)
     rows = materialize(source.select(*schema.names), "merge_source")
-    touched = rows.select(*parts).distinct()
-    found = touched.limit(PRUNED_PARTITIONS + 1).collect()
-    if not found:
+    bounds = rows.agg(
+        F.count(F.lit(1)).alias("n"), *[f(p).alias(f"{n}_{p}") for p in parts for n, f in (("lo", F.min), ("hi", F.max))]
+    ).first()
+    if not bounds["n"]:
         return table
-    if len(found) <= PRUNED_PARTITIONS:
-        affected = table.filter(reduce(or_, [reduce(and_, [F.col(p).eqNullSafe(r[p]) for p in parts]) for r in found]))
-    else:
-        affected = table.join(sized(touched), list(parts), "left_semi").select(*schema.names)
+    # The range prunes folders at any number of partitions; the null-safe join then names them exactly.
+    for p in parts:
+        inside = F.lit(False) if bounds[f"lo_{p}"] is None else F.col(p).between(bounds[f"lo_{p}"], bounds[f"hi_{p}"])
+        table = table.filter(F.col(p).isNull() | inside)
+    touched = materialize(rows.select(*parts).distinct(), "touched_partitions")
+    affected = table.join(sized(_renamed(touched, parts, "_part_")), _same(parts, "_part_"), "left_semi")
     if match is None:
         merged = merge_upsert(affected, rows, key, update)
     else:
@@ -102,7 +117,8 @@ def _unmatched(rows: DataFrame, target: DataFrame, key: Sequence[str], small: bo
     never shuffled; the keys it has in common are again no more than the source's.
     """
     keys = list(key)
+    theirs = target.select(*keys)
     if small:
-        present = target.select(*keys).join(F.broadcast(rows.select(*keys)), keys, "left_semi").distinct()
-        return rows.join(present, keys, "left_anti")
-    return rows.join(target.select(*keys), keys, "left_anti")
+        theirs = theirs.join(F.broadcast(_renamed(rows.select(*keys), keys, "_key_")), _same(keys, "_key_"), "left_semi")
+        theirs = theirs.distinct()
+    return rows.join(_renamed(theirs, keys, "_key_"), _same(keys, "_key_"), "left_anti")

@@ -24,10 +24,10 @@ def _error(y: str, prediction: str) -> Column:
 def _scale_free(y: str, prediction: str) -> list[Column]:
     size = F.abs(F.col(y)) + F.abs(F.col(prediction))
     abs_err = F.abs(_error(y, prediction))
-    smape = F.when(size > 0, abs_err / (size / 2)).otherwise(0.0)
+    smape = F.when(size > 0, abs_err / (size / 2)).when(size == 0, 0.0)  # null without a prediction
     return [
         F.avg(smape).alias("sMAPE"),
-        ratio(F.sum(abs_err), F.sum(y)).alias("wMAPE"),
+        ratio(F.sum(abs_err), F.sum(F.when(abs_err.isNotNull(), F.col(y)))).alias("wMAPE"),
         ratio(F.avg(abs_err), F.avg(F.abs(F.col(y) - F.col("_naive")))).alias("MASE"),
     ]
 
@@ -95,17 +95,19 @@ def wmape_spread(by_series: DataFrame, col: str = "family") -> DataFrame:
 
 
 def _regression(y: str, prediction: str) -> list[Column]:
+    """All figures are over the rows that have both values."""
     err = _error(y, prediction)
     sse = F.sum(err * err)
     n = F.count(err)
+    actual, predicted = (F.when(err.isNotNull(), F.col(c)) for c in (y, prediction))
     return [
         n.alias("sample_count"),
-        F.avg(y).alias("avg_actual"),
-        F.avg(prediction).alias("avg_predicted"),
+        F.avg(actual).alias("avg_actual"),
+        F.avg(predicted).alias("avg_predicted"),
         F.try_divide(sse, n).alias("mse"),
         F.sqrt(F.try_divide(sse, n)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (1 - F.try_divide(sse, n * F.var_pop(y))).alias("r2"),
+        (1 - F.try_divide(sse, n * F.var_pop(actual))).alias("r2"),
         (F.avg(F.abs(F.try_divide(err, F.col(y)))) * 100).alias("mape"),
     ]
 
@@ -121,6 +123,14 @@ def regression_metrics(
     return df.groupBy(*by).agg(*_regression(y, prediction))
 
 
+def unpaired(df: DataFrame, by: Sequence[str] = (), y: str = "y", prediction: str = "prediction") -> DataFrame:
+    """Rows that the error figures leave out, because the actual or the prediction is missing."""
+    missing = _error(y, prediction).isNull()
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(missing).alias("unpaired_count")
+    )
+
+
 def worst_and_best(metrics: DataFrame, n: int, by: Sequence[str], measure: str = "rmse") -> DataFrame:
     """The ``n`` groups with the highest and the ``n`` with the lowest error."""
     worst = metrics.orderBy(F.desc(measure), *by).limit(n).withColumn("side", F.lit("worst"))
@@ -129,8 +139,9 @@ def worst_and_best(metrics: DataFrame, n: int, by: Sequence[str], measure: str =
 
 
 def rmsle(df: DataFrame, by: Sequence[str] = (), y: str = "y", prediction: str = "prediction") -> DataFrame:
-    """Root mean squared log error."""
-    diff = F.log1p(prediction) - F.log1p(y)
+    """Root mean squared log error; values below 0 count as 0."""
+    floor = [F.when(F.col(c) < 0, 0.0).otherwise(F.col(c)) for c in (prediction, y)]
+    diff = F.log1p(floor[0]) - F.log1p(floor[1])
     return df.groupBy(*by).agg(F.sqrt(F.avg(diff * diff)).alias("rmsle"))
 
 

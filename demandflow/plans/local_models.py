@@ -11,14 +11,17 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandflow.session import ship_package
+
 Forecaster = Callable[[pd.Series, int], np.ndarray]
 
 
 def seasonal_forecast(y: pd.Series, horizon: int) -> np.ndarray:
     """Additive model by least squares: trend, weekly pattern and one yearly wave; ``y`` is indexed by day."""
-    days = y.index.append(pd.date_range(y.index[-1] + pd.Timedelta(days=1), periods=horizon))
+    days = y.index.append(pd.date_range(y.index[-1], periods=horizon + 1, freq=y.index.freq or "D")[1:])
     t = (days - days[0]).days.to_numpy(float)
     year = 2 * np.pi * t / 365.25
     weekday = np.eye(7)[days.dayofweek.to_numpy()]
@@ -64,14 +67,22 @@ def fit_predict_local(
     test: DataFrame,
     model_type: str,
     group_cols: Sequence[str],
-    horizon: int,
+    horizon: int = 0,
     date_col: str = "date",
     target_col: str = "sales",
     order: tuple[int, int, int] = (1, 1, 1),
+    freq: str = "D",
 ) -> DataFrame:
-    """Fit each series, forecast the ``horizon`` days after its end, and pair them with the test actuals."""
+    """Fit each series and pair its forecast with every test row.
+
+    A series is put on a regular index of ``freq`` first, missing days between two
+    observations being interpolated, and is forecast up to its own last test day,
+    ``horizon`` periods at least. Test rows of a series without training rows have
+    no prediction.
+    """
     if model_type not in ("seasonal_local", "arima_local"):
         raise ValueError(f"unknown local model {model_type!r}")
+    ship_package(train.sparkSession)
     forecaster = seasonal_forecast if model_type == "seasonal_local" else arima_forecast(order)
     keys = list(group_cols)
     schema = T.StructType(
@@ -79,11 +90,22 @@ def fit_predict_local(
     )
 
     def one_series(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        y = pd.Series(rows[target_col].to_numpy(float), pd.DatetimeIndex(rows[date_col])).sort_index()
-        days = pd.date_range(y.index[-1] + pd.Timedelta(days=1), periods=horizon)
-        out = {**dict(zip(keys, key, strict=True)), date_col: days.date, "prediction": forecaster(y, horizon)}
-        return pd.DataFrame(out)
-
-    forecasts = train.select(*keys, date_col, target_col).groupBy(*keys).applyInPandas(one_series, schema)
+        known = rows[rows["_test"] == 0]
+        if known.empty:
+            return pd.DataFrame({c: pd.Series(dtype="object") for c in schema.names})
+        y = pd.Series(known[target_col].to_numpy(float), pd.DatetimeIndex(known[date_col])).sort_index()
+        y = y[~y.index.duplicated()].asfreq(freq).interpolate().ffill().bfill()
+        last = pd.Timestamp(rows[date_col].max())
+        days = pd.date_range(y.index[-1], max(last, y.index[-1]), freq=freq)[1:]
+        if len(days) < horizon:
+            days = pd.date_range(y.index[-1], periods=horizon + 1, freq=freq)[1:]
+        values = forecaster(y, len(days)) if len(days) else np.empty(0)
+        return pd.DataFrame({**dict(zip(keys, key, strict=True)), date_col: days.date, "prediction": values})
+
+    # One row per series tells how far to go; the rest of the test part does not travel to the models.
+    ends = test.groupBy(*keys).agg(F.max(date_col).alias(date_col))
+    history = train.select(*keys, date_col, F.col(target_col).cast("double").alias(target_col), F.lit(0).alias("_test"))
+    goals = ends.select(*keys, date_col, F.lit(None).cast("double").alias(target_col), F.lit(1).alias("_test"))
+    forecasts = history.unionByName(goals).groupBy(*keys).applyInPandas(one_series, schema)
     actuals = test.select(*keys, date_col, test[target_col].alias("y"))
-    return forecasts.join(actuals, [*keys, date_col]).select(*keys, date_col, "y", "prediction")
+    return actuals.join(forecasts, [*keys, date_col], "left").select(*keys, date_col, "y", "prediction")

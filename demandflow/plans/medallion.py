@@ -103,4 +103,4 @@ class Medallion:
     @cached_property
     def gold_with_transactions(self) -> DataFrame:
         stores, oil, _ = self.silver("stores", "oil", "bronze_holidays")
-        return gold_daily_fact(self.train, stores, self.holidays, oil, self.retail.transactions)
+        return gold_daily_fact(self.train, stores, self.holidays, oil, self.retail.stored_transactions)

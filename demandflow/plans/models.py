@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
+from operator import and_
 from typing import Any
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -53,7 +54,7 @@ def make_pipeline(categorical: Sequence[str], numeric: Sequence[str], estimator:
         )
         stages.append(OneHotEncoder(inputCols=index, outputCols=[f"{c}_onehot" for c in categorical]))
     inputs = [*numeric, *[f"{c}_onehot" for c in categorical]]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     return Pipeline(stages=[*stages, estimator])
 
 
@@ -75,9 +76,15 @@ def fit_global(
 def predict_global(
     model: PipelineModel, rows: DataFrame, keys: Sequence[str], target_col: str | None = None
 ) -> DataFrame:
-    """Keys, actual ``y`` where known, and prediction."""
-    actual = [F.col(target_col).alias("y")] if target_col else []
-    return model.transform(rows).select(*keys, *actual, "prediction")
+    """Keys, actual ``y`` where known, and prediction; a row that lacks a number has no prediction."""
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    complete = reduce(and_, [F.col(c).isNotNull() for c in assembler.getInputCols() if c in rows.columns], F.lit(True))
+    # Missing numbers become 0 for the assembler, which refuses them, and their predictions are dropped.
+    filled = {c: F.coalesce(c, F.lit(0).cast(rows.schema[c].dataType)) for c in assembler.getInputCols() if c in rows.columns}
+    kept = {f"_kept_{c}": F.col(c) for c in [*keys, *([target_col] if target_col else [])]}
+    scored = model.transform(rows.withColumns({**kept, "_complete": complete}).withColumns(filled))
+    columns = [F.col(f"_kept_{c}").alias(c) for c in keys] + ([F.col(f"_kept_{target_col}").alias("y")] if target_col else [])
+    return scored.select(*columns, F.when(F.col("_complete"), F.col("prediction")).alias("prediction"))
 
 
 def log_target(target_col: str) -> Column:
@@ -140,18 +147,21 @@ def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
 # --- several models ------------------------------------------------------------------------------
 
 
-def by_group(df: DataFrame, col: str) -> Iterable[tuple[str, DataFrame]]:
+def by_group(df: DataFrame, col: str) -> Iterable[tuple[str | None, DataFrame]]:
     """Each value of a column with its rows, read from a table partitioned by that column.
 
     The frame is computed once; each model then reads its own partition only.
-    Values come over one at a time.
+    Values come over one at a time. Null and the empty string are groups of
+    their own: a folder name can hold neither, so the folders carry a mark.
     """
     spark = df.sparkSession
     path = new_dir(spark, f"by_{col}")
-    write_partitioned(df.withColumn("_group", F.col(col)), path, by=["_group"])
+    folder = F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("null"))
+    write_partitioned(df.withColumn("_group", folder), path, by=["_group"])
     table = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_group", T.StringType())])).parquet(path)
     for row in table.select("_group").distinct().orderBy("_group").toLocalIterator():
-        yield row["_group"], table.filter(F.col("_group") == row["_group"]).drop("_group")
+        name = row["_group"][1:] if row["_group"] != "null" else None
+        yield name, table.filter(F.col("_group") == row["_group"]).drop("_group")
 
 
 def train_by_strategy(
@@ -177,11 +187,20 @@ def train_by_strategy(
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    def scored(model: tuple[str, DataFrame]) -> DataFrame:
-        name, rows = model
-        return fit_and_score(rows).withColumns({"model_name": F.lit(name), "model_strategy": F.lit(strategy)})
+    # Each model's predictions are written as it finishes, so the result is one table however many models there are.
+    path = new_dir(split.sparkSession, "model_predictions")
 
-    return reduce(DataFrame.unionByName, side_by_side(scored, models))
+    def scored(numbered: tuple[int, tuple[str | None, DataFrame]]) -> T.StructType:
+        i, (name, rows) = numbered
+        named = {"model_name": F.lit(name).cast("string"), "model_strategy": F.lit(strategy)}
+        out = fit_and_score(rows).withColumns(named)
+        out.write.parquet(f"{path}/model={i}")
+        return out.schema
+
+    schemas = side_by_side(scored, enumerate(models))
+    if not schemas:
+        raise ValueError("there are no rows to train on")
+    return split.sparkSession.read.schema(schemas[0]).parquet(f"{path}/model=*")
 
 
 def grid(**options: Sequence[Any]) -> list[dict[str, Any]]:

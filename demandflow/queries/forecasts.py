@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandflow.plans import gold_forecast as gf
 from demandflow.plans import growth
@@ -11,8 +12,6 @@ from demandflow.queries import query
 from demandflow.queries.common import RUN_AT, retail, rounded
 from demandflow.session import materialize, new_dir
 
-YEARS = range(1995, 2002)
-
 
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
@@ -157,4 +156,6 @@ def growth_delta(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def family_year_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    return growth.family_year_pivot(retail(spark, folder).sales, YEARS)
+    sales = retail(spark, folder).stored_sales
+    first, last = sales.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
+    return growth.family_year_pivot(sales, range(first, last + 1))

@@ -290,7 +290,7 @@ def sql(body: str) -> str:
                     needed.append(name)
 
     visit(body)
-    tables = ",\n".join(f"{name} AS ({TABLES[name].strip()})" for name in needed)
+    tables = ",\n".join(f"{name} AS MATERIALIZED ({TABLES[name].strip()})" for name in needed)
     return f"WITH {tables}\n{body.strip()}" if needed else body.strip()
 
 

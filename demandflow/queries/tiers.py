@@ -14,11 +14,9 @@ from demandflow.operators.quality import daily_total
 from demandflow.plans.publish import publish_tiers
 from demandflow.queries import query
 from demandflow.queries.common import RUN_AT, retail, rounded, tiers
-from demandflow.session import new_dir
+from demandflow.session import materialize, new_dir
 from demandflow.sources.retail import NATIONAL
 
-STATES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-
 
 @query
 def gold_daily_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,7 +78,9 @@ def holiday_calendar(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def holiday_wide(spark: SparkSession, folder: str) -> DataFrame:
     r = retail(spark, folder)
-    return clean.holiday_wide(clean.holiday_calendar(r.stored_holidays, r.stores, NATIONAL), STATES)
+    stores = materialize(r.stores, "silver_stores")
+    states = [row["state"] for row in stores.select("state").distinct().orderBy("state").collect()]
+    return clean.holiday_wide(clean.holiday_calendar(r.stored_holidays, stores, NATIONAL), states)
 
 
 @query

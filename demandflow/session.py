@@ -60,15 +60,16 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as a Parquet table and continue from the written table.
 
     Cuts lineage in a way that survives lost executors, computes the frame once
-    however often it is read, and gives the optimizer its true size.
+    however often it is read, and gives the optimizer its true size. Hashes do not
+    compress; ``uncompressed`` saves their readers the buffers outside the heap.
     """
     spark = df.sparkSession
     path = new_dir(spark, name)
-    df.write.parquet(path)
+    (df.write if compression is None else df.write.option("compression", compression)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,17 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandflow.operators.clean import keep_first
 from demandflow.operators.merge import merge_insert_only
 from demandflow.sources.contracts import PRICE_FEED
 
 FILES_PER_BATCH = 1000
-VERSIONED_PRICES = T.StructType(
-    [
-        T.StructField("date", T.DateType()),
-        T.StructField("dcoilwtico", T.DoubleType()),
-        T.StructField("version", T.LongType()),
-    ]
-)
+PRICES = T.StructType([T.StructField("date", T.DateType()), T.StructField("dcoilwtico", T.DoubleType())])
 
 
 @dataclass(frozen=True)
@@ -79,37 +74,34 @@ def merge_prices(prices: DataFrame, streamed: DataFrame) -> DataFrame:
     return merge_insert_only(prices, streamed, ["date"])
 
 
-def current_prices(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The newest version of the price table, or the newest one older than ``before``."""
-    versions = spark.read.schema(VERSIONED_PRICES).parquet(root)
-    if before is not None:
-        versions = versions.filter(F.col("version") < before)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == newest).drop("version")
+def current_prices(spark: SparkSession, root: str) -> DataFrame:
+    """The price table."""
+    return spark.read.schema(PRICES).parquet(root)
 
 
 def stream_into_prices(spark: SparkSession, paths: FeedPaths, prices: DataFrame) -> DataFrame:
-    """Merge each new micro-batch of the bronze table into the versioned price table.
+    """Append the dates that the price table lacks from each new micro-batch of the bronze table.
 
-    ``prices`` seeds the table on the first run. Each batch writes a version named
-    after itself, so a batch replayed after a failure replaces what it wrote
-    before, and the version being read is never touched.
+    ``prices`` seeds the table on the first run. What was appended once is found in
+    the table, so a batch that is replayed, or all of them after a lost checkpoint, adds nothing
+    twice. The table itself is never rewritten.
     """
     try:
         current_prices(spark, paths.prices)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        prices.select("date", "dcoilwtico").write.parquet(f"{paths.prices}/version=-1")
+        prices.select(*PRICES.names).write.parquet(paths.prices)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        current = current_prices(batch.sparkSession, paths.prices, before=batch_id)
-        merge_prices(current, batch).write.mode("overwrite").parquet(f"{paths.prices}/version={batch_id}")
+    def append(batch: DataFrame, batch_id: int) -> None:
+        rows = keep_first(batch.dropna(subset=["date"]), ["date"])
+        known = current_prices(batch.sparkSession, paths.prices).select("date")
+        rows.join(known, "date", "left_anti").select(*PRICES.names).write.mode("append").parquet(paths.prices)
 
     bronze = spark.readStream.schema(PRICE_FEED).parquet(paths.bronze)
-    rows = bronze.select(F.to_date("day").alias("date"), F.col("price").alias("dcoilwtico"))
+    rows = bronze.select(F.to_date("day").alias("date"), F.col("price").cast("double").alias("dcoilwtico"))
     query = (
-        rows.writeStream.foreachBatch(merge)
+        rows.writeStream.foreachBatch(append)
         .option("checkpointLocation", f"{paths.progress}/merge")
         .trigger(availableNow=True)
         .start()

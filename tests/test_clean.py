@@ -94,3 +94,9 @@ def test_holiday_calendar(spark):
     spine = spark.createDataFrame([(day(-2),), (day(8),)], "date date")
     assert len(rows(holiday_calendar(holidays, stores, "ALL", spine=spine))) == 11 * 2
     assert rows(holiday_wide(calendar, ["North", "South"]))[3] == (day(3), 0, 1)
+
+
+def test_gaps_are_filled_when_a_date_is_delivered_twice(spark):
+    data = [(day(0), None), (day(1), 5.0), (day(1), 6.0), (day(1), 5.0), (day(3), 7.0), (day(3), 7.0)]
+    df = spark.createDataFrame(data, "date date, v double")
+    assert [r[1] for r in rows(fill_gaps(df, "date", "v"))] == [6.0, 6.0, 6.0, 7.0]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from conftest import day, rows
@@ -133,3 +135,19 @@ def test_fleet_summary(spark):
 def test_prediction_sample_is_ordered_and_signed_by_the_prediction(pred):
     got = m.prediction_sample(pred.filter("s = 'short'").union(pred.filter("s = 'zero'")), ["s", "date"], 2).collect()
     assert [(r.s, r.error, r.abs_error, r.pct_error) for r in got] == [("short", -2.0, 2.0, 50.0), ("zero", 1.0, 1.0, None)]
+
+
+def test_rows_without_prediction_are_left_out(spark):
+    data = [("a", day(0), 1.0, 2.0), ("a", day(1), 3.0, 2.0), ("a", day(2), 100.0, None)]
+    df = spark.createDataFrame(data, "s string, date date, y double, prediction double")
+    got = m.regression_metrics(df).first()
+    assert (got["sample_count"], got["avg_actual"], got["r2"]) == (2, 2.0, 0.0)
+    assert abs(m.metrics_by_series(df, ["s"], seasonality=1).first()["sMAPE"] - (2 / 3 + 0.4) / 2) < 1e-12
+    assert m.metrics_by_series(df, ["s"], seasonality=1).first()["wMAPE"] == 0.5
+    assert tuple(m.unpaired(df).first()) == (3, 1)
+
+
+def test_negative_predictions_count_as_zero_in_rmsle(spark):
+    df = spark.createDataFrame([(1.0, 1.5), (1.0, -3.0)], "y double, prediction double")
+    logs = [math.log1p(1.5) - math.log1p(1), -math.log1p(1)]
+    assert abs(m.rmsle(df).first()[0] - math.sqrt(sum(x * x for x in logs) / 2)) < 1e-12

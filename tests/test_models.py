@@ -173,3 +173,28 @@ def test_clusters(spark):
     curve = [r.inertia for r in clusters.elbow_curve(scaled, (2, 4)).orderBy("k").collect()]
     assert curve[0] > curve[1]
     scaled.unpersist()
+
+
+def test_local_models_cover_every_test_row(spark):
+    """Sparse series end on different days, and one has no training rows."""
+    data = [("a", day(3 * i), float(i)) for i in range(40)] + [("b", day(i), 1.0) for i in range(60)] + [("c", day(70), 2.0)]
+    df = spark.createDataFrame(data, "s string, date date, sales double")
+    train, test = df.filter(F.col("date") < day(45)).filter("s <> 'c'"), df.filter(F.col("date") >= day(45))
+    for kind in mo.LOCAL_MODELS:
+        got = {(r.s, r.date): r.prediction for r in fit_predict_local(train, test, kind, ["s"], order=(2, 1, 1)).collect()}
+        assert len(got) == test.count()
+        assert [k for k, v in got.items() if v is None] == [("c", day(70))]
+
+
+def test_rows_without_a_feature_are_scored_as_missing(spark):
+    train = spark.createDataFrame([(i, float(i), 2.0 * i) for i in range(30)], "id int, x double, sales double")
+    model = mo.fit_global(train, "sales", [], ["x"], mo.make_estimator("glm"))
+    rows_ = spark.createDataFrame([(1, 4.0, 8.0), (2, None, 1.0)], train.schema)
+    got = {r.id: r.prediction for r in mo.predict_global(model, rows_, ["id"], "sales").collect()}
+    assert got[1] == pytest.approx(8.0, abs=1e-6) and got[2] is None
+
+
+def test_null_and_empty_groups_are_groups(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("", 3), (None, 4)], "g string, v int")
+    got = {name: sorted(r.v for r in rows_.collect()) for name, rows_ in mo.by_group(df, "g")}
+    assert got == {"a": [1], None: [2, 4], "": [3]}

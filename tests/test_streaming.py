@@ -45,3 +45,18 @@ def test_merge_takes_new_dates_once_and_late_ones_too(spark, feed):
     assert rows(prices.stream_into_prices(spark, paths, known)) == rows(second)
     # Gap filling after the merge covers the streamed dates as well.
     assert [r[1] for r in rows(fill_gaps(second, "date", "dcoilwtico"))] == [49.0, 40.0, 40.0, 53.0]
+
+
+def test_a_lost_checkpoint_neither_loses_nor_repeats_prices(spark, feed):
+    from dataclasses import replace
+
+    paths, land = feed
+    known = spark.createDataFrame([(day(1), 40.0)], "date date, dcoilwtico double")
+    land((0, 49.0), (2, 52.0))
+    prices.ingest(spark, paths)
+    prices.stream_into_prices(spark, paths, known)
+    land((5, 55.0))
+    fresh = replace(paths, progress=f"{paths.progress}-fresh", bronze=f"{paths.bronze}-fresh")
+    prices.ingest(spark, fresh)
+    expected = [(day(0), 49.0), (day(1), 40.0), (day(2), 52.0), (day(5), 55.0)]
+    assert rows(prices.stream_into_prices(spark, fresh, known)) == expected
