@@ -32,6 +32,7 @@ COORDINATES = 64
 # At a similarity of 0.75 the matches are binomial with mean 48 and deviation 3.5; fewer than 33 have a chance of 1e-5.
 MIN_MATCHES = 33
 LEADER_ROUNDS = 4
+UNCOMPRESSED = "uncompressed"  # tables of hashes
 CHUNK_BYTES = 1 << 20  # texts are hashed together up to this size
 SEED = 77
 
@@ -158,7 +159,7 @@ def signed(docs: DataFrame, locator: Column) -> DataFrame:
 
     doc_id = docs["doc_id"].cast("bigint").alias("doc_id")
     texts = docs.select(locator.cast("bigint").alias("locator"), doc_id, text_of(docs).alias("text"))
-    return materialize(texts.mapInArrow(sign, SIGNED), "signatures")
+    return materialize(texts.mapInArrow(sign, SIGNED), "signatures", UNCOMPRESSED)
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -172,7 +173,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
             F.first("signature").alias("signature"),
         )
     )
-    return materialize(grouped.withColumn("id", F.monotonically_increasing_id()), "shingle_classes")
+    return materialize(grouped.withColumn("id", F.monotonically_increasing_id()), "shingle_classes", UNCOMPRESSED)
 
 
 def posted(classes: DataFrame) -> DataFrame:
@@ -202,6 +203,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, postings: DataFrame) -> DataFra
     wanted = materialize(
         classes.join(postings.select("id").distinct(), "id", "left_semi").select("id", "digest", "doc_id", "n", "signature"),
         "posted_classes",
+        UNCOMPRESSED,
     )
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
     keys = wanted.select(F.col("id").alias("wanted_id"), F.col("digest").alias("wanted"), F.col("doc_id").alias("first"))
@@ -219,7 +221,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, postings: DataFrame) -> DataFra
             )
 
     sets = matched.mapInArrow(read, SETS).dropDuplicates(["id"])
-    return materialize(sets.select("id", "shingles").join(wanted.select("id", "n", "signature"), "id"), "posted_sets")
+    return materialize(sets.select("id", "shingles").join(wanted.select("id", "n", "signature"), "id"), "posted_sets", UNCOMPRESSED)
 
 
 def connectable(sets: DataFrame) -> DataFrame:
