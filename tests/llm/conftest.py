@@ -1,13 +1,8 @@
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 from pyspark.sql import types as T
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 LONG = " ".join(f"word{i % 977} of{i % 31}" for i in range(30_000))
 PROSE = " ".join(f"the w{i} of x{i * 7 % 89} and" for i in range(40))
 # Missing ids, missing and empty texts, repeated rows, ties, a very long text.

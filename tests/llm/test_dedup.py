@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-import brute
+from llm import brute
 from demandflow.llm import dedup
 
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-import brute
+from llm import brute
 from demandflow.llm import near_dup
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-import brute
+from llm import brute
 from demandflow.llm import pii
 
 TRICKY = [

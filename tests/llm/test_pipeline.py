@@ -10,7 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-import brute
+from llm import brute
 import check
 import corpus_pipeline
 from demandflow.session import materialize

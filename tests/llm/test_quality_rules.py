@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-import brute
+from llm import brute
 from demandflow.llm import quality_rules as rules
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
