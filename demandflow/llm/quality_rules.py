@@ -95,9 +95,9 @@ def covered(starts: Column) -> Column:
 
 
 def counted(docs: DataFrame, *keep: Column) -> DataFrame:
-    """``keep``, lang, the words and the base counts of every row."""
+    """``keep`` as a struct, lang, the words and the base counts of every row."""
     text = text_of(docs)
-    first = docs.select(*keep, docs["lang"].alias("lang"), text.alias("text"), words_of(text).alias("words"))
+    first = docs.select(F.struct(*keep).alias("_keep"), docs["lang"].alias("lang"), text.alias("text"), words_of(text).alias("words"))
     second = first.withColumn("n_words", F.size("words").cast("bigint"))
     third = second.withColumn("windows", grams(F.col("words"), F.col("n_words").cast("int")))
     repeats = F.size("windows") != F.size(F.array_distinct("windows"))
@@ -176,8 +176,8 @@ def common_counts(words: Column, common: Column, length: int) -> Column:
     return let(codes, histogram)
 
 
-def judged(docs: DataFrame, rules: Rules = Rules(), *keep: Column) -> DataFrame:  # noqa: B008
-    """``keep`` and, of every row of ``docs``, the base counts, both distances and the verdict.
+def judged(docs: DataFrame, rules: Rules, *keep: Column) -> DataFrame:
+    """``keep``, at least one column, and, of every row of ``docs``, the base counts, both distances and the verdict.
 
     Columns n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance, word_distance, kept. A null text has no words and fails; a null
@@ -202,7 +202,7 @@ def judged(docs: DataFrame, rules: Rules = Rules(), *keep: Column) -> DataFrame:
         F.coalesce("word_distance", F.lit(0.0)) <= rules.max_word_distance
     )
     return measured.select(
-        *rows.columns[: len(keep)],
+        "_keep.*",
         "n_words",
         (F.length("text") - F.element_at("classes", 5)).cast("bigint").alias("word_chars"),
         F.element_at("classes", 4).alias("n_symbols"),
