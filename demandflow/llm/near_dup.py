@@ -31,7 +31,7 @@ PERCENT = 75  # similarity of a link
 COORDINATES = 64
 # At a similarity of 0.75 the matches are binomial with mean 48 and deviation 3.5; fewer than 33 have a chance of 1e-5.
 MIN_MATCHES = 33
-LEADER_ROUNDS = 4
+LEADER_ROUNDS = 3
 UNCOMPRESSED = "uncompressed"  # tables of hashes
 CHUNK_BYTES = 1 << 20  # texts are hashed together up to this size
 SEED = 77
@@ -200,11 +200,8 @@ def posted(classes: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, classes: DataFrame, postings: DataFrame) -> DataFrame:
     """id, n, signature and shingles of the posted classes, read again from one text of each."""
-    wanted = materialize(
-        classes.join(postings.select("id").distinct(), "id", "left_semi").select("id", "digest", "doc_id", "n", "signature"),
-        "posted_classes",
-        UNCOMPRESSED,
-    )
+    ids = materialize(postings.select("id").distinct(), "posted_ids")
+    wanted = materialize(classes.join(sized(ids), "id", "left_semi"), "posted_classes", UNCOMPRESSED)
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
     keys = wanted.select(F.col("id").alias("wanted_id"), F.col("digest").alias("wanted"), F.col("doc_id").alias("first"))
     matched = texts.join(sized(keys), texts["doc_id"].eqNullSafe(keys["first"])).select("wanted_id", "wanted", "text")
@@ -230,16 +227,16 @@ def connectable(sets: DataFrame) -> DataFrame:
     The part of a set that no other has is lost for every intersection, which settles most
     strongly edited copies without a comparison.
     """
-    shingles = sets.select("id", "n", F.explode("shingles").alias("shingle"))
+    shingles = sets.select("id", F.explode("shingles").alias("shingle"))
     alone = (
         shingles.groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("often"), F.min("id").alias("id"))
         .where("often = 1")
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("alone"))
+        .select("id", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("alone"))
     )
-    left = sets.select("id", "n").join(alone, "id", "left")
-    return left.where(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= PERCENT * F.col("n")).select("id")
+    counted = sets.select("id", "n", F.lit(0).alias("alone")).unionByName(alone).groupBy("id")
+    sizes = counted.agg(F.max("n").alias("n"), F.sum("alone").alias("alone"))
+    return sizes.where(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")).select("id")
 
 
 def similar(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
@@ -258,41 +255,54 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """node and root, the smallest node connected with it, of every node in ``links`` (a, b).
+    """node and root, the smallest node connected with it, of every node in ``links`` (a, b), distinct and a < b.
 
-    Every round gives a node the smallest root among its neighbours and then that root's own root,
-    so the distance to the root halves; it ends when no root changes. A round writes one row per node.
+    Every round gives a node the smallest root among its neighbours and then that
+    root's own root, so the distance to the root halves; it ends when no root changes.
+    A round writes one row per node.
     """
-    both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root"))
-    roots = materialize(roots, "roots")
+    both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    roots = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), "a").alias("root")), "roots")
     while True:
-        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node"))
-        lowest = near.agg(F.min("root").alias("near"))
-        hooked = roots.join(lowest, "node").select("node", F.least("root", "near").alias("next"), F.col("root").alias("old"))
+        of_neighbours = both.join(sized(roots.select(F.col("node").alias("b"), "root")), "b").select(
+            F.col("a").alias("node"), "root", F.lit(None).cast("bigint").alias("old")
+        )
+        own = roots.select("node", "root", F.col("root").alias("old"))
+        best = of_neighbours.unionByName(own).groupBy("node").agg(F.min("root").alias("next"), F.max("old").alias("old"))
         jump = roots.select(F.col("node").alias("next"), F.col("root").alias("further"))
-        moved = hooked.join(jump, "next").select("node", F.least("next", "further").alias("root"), "old")
+        moved = best.join(sized(jump), "next").select("node", F.least("next", "further").alias("root"), "old")
         moved = materialize(moved, "roots")
-        if moved.where("root <> old").isEmpty():
-            return moved.select("node", "root")
         roots = moved.select("node", "root")
+        if moved.where("root <> old").isEmpty():
+            return roots
 
 
 def regrouped(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (id, component) after joining the components that ``links`` connect."""
     a = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     b = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    between = links.join(a, "a").join(b, "b").where("ca <> cb")
+    between = links.join(sized(a), "a").join(sized(b), "b").where("ca <> cb")
     roots = connected(between.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
-    joined = labels.join(roots.withColumnRenamed("node", "component"), "component", "left")
+    joined = labels.join(sized(roots.withColumnRenamed("node", "component")), "component", "left")
     return materialize(joined.select("id", F.coalesce("root", "component").alias("component")), "components")
 
 
-def live(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """The postings with their components, of the lists that hold more than one component."""
-    named = postings.join(labels, "id")
-    open_lists = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return materialize(named.join(open_lists.select("token"), "token", "left_semi"), "live_postings")
+def open_lists(postings: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """The lists that hold more than one component: token, members, largest (part, component) and leader.
+
+    The leader is the member with the most common tokens, in later turns one by hash. Members are summed up
+    before the shuffle, so a list of any length is a few rows.
+    """
+    order = F.col("weight") if turn == 0 else F.xxhash64("id", F.lit(turn)).cast("double")
+    leader = F.max(F.struct(order.alias("order"), "id", "n", "component")).alias("leader")
+    parts = postings.join(sized(labels), "id").groupBy("token", "component").agg(F.count(F.lit(1)).alias("part"), leader)
+    lists_ = parts.groupBy("token").agg(
+        F.count(F.lit(1)).alias("components"),
+        F.sum("part").alias("members"),
+        F.max(F.struct("part", "component")).alias("largest"),
+        F.max("leader").alias("leader"),
+    )
+    return materialize(lists_.where("components > 1").drop("components"), "open_lists")
 
 
 def comparable(n: Column, m: Column) -> Column:
@@ -300,27 +310,21 @@ def comparable(n: Column, m: Column) -> Column:
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
-def leader_pairs(open_postings: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each list's leader with the members outside its component; another leader every ``turn``."""
-    order = F.col("weight") if turn == 0 else F.xxhash64("id", F.lit(turn)).cast("double")
-    leaders = open_postings.groupBy("token").agg(
-        F.max_by(F.struct("id", "component", "n"), F.struct(order, F.col("id"))).alias("leader")
-    )
-    joined = open_postings.join(leaders, "token").where(
-        (F.col("component") != F.col("leader.component")) & comparable(F.col("n"), F.col("leader.n"))
+def leader_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of each list's leader with the members outside its component."""
+    far = F.col("component") != F.col("leader.component")
+    return members.where(far & comparable(F.col("n"), F.col("leader.n"))).select(
+        F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")
     )
-    return joined.select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct()
 
 
-def crossing(open_postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members of each list outside its largest component, and per list how many pairs cross components at most."""
-    parts = open_postings.groupBy("token", "component").agg(F.count(F.lit(1)).alias("part"))
-    largest = parts.groupBy("token").agg(
-        F.max(F.struct("part", "component")).alias("largest"), F.sum("part").alias("members")
+def crossing_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of a list that cross components: one of them is outside its largest component."""
+    others = members.where("component <> largest.component").select(
+        "token", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx")
     )
-    joined = open_postings.join(largest, "token")
-    others = joined.where("component <> largest.component").select("token", "id", "component", "n")
-    return others, largest.select(((F.col("members") - F.col("largest.part")) * F.col("members")).alias("pairs"))
+    met = others.join(members, "token").where((F.col("component") != F.col("cx")) & comparable(F.col("n"), F.col("nx")))
+    return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
 
 
 def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -328,29 +332,24 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     postings = posted(classes)
     sets = sets_of(docs, classes, postings)
     able = materialize(connectable(sets), "connectable")
-    postings = materialize(postings.join(able, "id", "left_semi"), "connectable_postings")
+    postings = materialize(postings.join(sized(able), "id", "left_semi"), "connectable_postings")
     labels = materialize(able.select("id", F.col("id").alias("component")), "components")
-    tested = None
+    tested: DataFrame | None = None
     for turn in range(LEADER_ROUNDS + 1):
-        open_postings = live(postings, labels)
-        others, costs = crossing(open_postings)
-        cost = costs.agg(F.sum("pairs")).first()[0] or 0
+        found = open_lists(postings, labels, turn)
+        crossing = (F.col("members") - F.col("largest.part")) * F.col("members")
+        cost, size = found.agg(F.sum(crossing), F.sum("members")).first()
         if not cost:
             break
-        last = turn == LEADER_ROUNDS or cost <= 4 * open_postings.count()
-        if last:
-            x = others.select("token", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-            met = x.join(open_postings, "token").where(
-                (F.col("component") != F.col("cx")) & comparable(F.col("n"), F.col("nx"))
-            )
-            pairs = met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-        else:
-            pairs = leader_pairs(open_postings, turn)
+        last = turn == LEADER_ROUNDS or cost <= 4 * size
+        members = postings.join(sized(labels), "id").join(sized(found), "token")
+        pairs = (crossing_pairs if last else leader_pairs)(members).withColumn("tested", F.lit(0))
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "candidate_pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = materialize(confirmed(pairs, sets), "confirmed_links")
+            pairs = pairs.unionByName(tested.withColumn("tested", F.lit(1)))
+        new = pairs.groupBy("a", "b").agg(F.max("tested").alias("tested")).where("tested = 0").drop("tested")
+        new = materialize(new, "candidate_pairs")
+        tested = new if tested is None else tested.unionByName(new)
+        links = materialize(confirmed(new, sets), "confirmed_links")
         if not links.isEmpty():
             labels = regrouped(labels, links)
         if last:
@@ -365,7 +364,7 @@ def grouped(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """
     classes = classes_of(rows)
     labels = components(docs, classes)
-    named = classes.join(labels, "id", "left").select(
+    named = classes.join(sized(labels), "id", "left").select(
         "digest", "doc_id", F.coalesce("component", "id").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
