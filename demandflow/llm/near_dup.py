@@ -7,9 +7,9 @@ and the frequent lists are skipped. Collisions of the pairs found are counted on
 signatures, and what reaches the threshold is confirmed on the whole sets.
 
 A list of thousands of near copies is never expanded into pairs. Its members are first compared with one leader,
-the member with the most common tokens, and joined into components; that is repeated with other leaders while
-it pays. Only pairs across the components that are left in a list are then compared one by one, which leaves out no
-link: a pair within a component could not change it.
+the member with the most common tokens, and joined into components; that is repeated with other leaders. Only pairs
+across the components that are left in a list are then compared one by one, which leaves out no link: a pair within a
+component could not change it. Where those would be many, the lists are drawn up anew from the rare shingles of the full sets.
 """
 
 from __future__ import annotations
@@ -239,6 +239,23 @@ def connectable(sets: DataFrame) -> DataFrame:
     return sizes.where(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")).select("id")
 
 
+def rare_shingles(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """Posting lists like ``posted``, of the rare shingles of the sets ``ids``: token, id, n and weight.
+
+    Two sets with a link share more than what is left of either behind these, so they
+    meet in a list. Shingles that most of a large group has are in none.
+    """
+    shingles = sets.join(sized(ids), "id", "left_semi").select("id", "n", F.explode("shingles").alias("token"))
+    often = shingles.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    of_set = Window.partitionBy("id")  # the shingles of one document
+    ranked = shingles.join(often, "token").withColumns(
+        {"rank": F.row_number().over(of_set.orderBy("often", "token")), "shared": F.count(F.lit(1)).over(of_set)}
+    )
+    needed = F.ceil(F.col("n") * PERCENT / 100)
+    prefix = ranked.where(F.col("rank") <= F.col("shared") - needed + 1)
+    return materialize(prefix.select("token", "id", "n", F.lit(0.0).alias("weight")), "rare_shingles", UNCOMPRESSED)
+
+
 def similar(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
     """At least ``PERCENT`` of the shingles of both together are in both."""
     common = F.size(F.array_intersect(a, b))
@@ -341,7 +358,12 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         cost, size = found.agg(F.sum(crossing), F.sum("members")).first()
         if not cost:
             break
-        last = turn == LEADER_ROUNDS or cost <= 4 * size
+        last = turn == LEADER_ROUNDS or cost <= size
+        if last and cost > size:
+            # What the leaders left open is looked for in lists that only links can fill.
+            open_ids = postings.join(sized(found), "token", "left_semi").select("id").distinct()
+            postings = rare_shingles(sets, materialize(open_ids, "open_ids"))
+            found = open_lists(postings, labels, turn)
         members = postings.join(sized(labels), "id").join(sized(found), "token")
         pairs = (crossing_pairs if last else leader_pairs)(members).withColumn("tested", F.lit(0))
         if tested is not None:
