@@ -9,7 +9,7 @@ signatures, and what reaches the threshold is confirmed on the whole sets.
 A list of thousands of near copies is never expanded into pairs. Its members are first compared with one leader,
 the member with the most common tokens, and joined into components; that is repeated with other leaders. Only pairs
 across the components that are left in a list are then compared one by one, which leaves out no link: a pair within a
-component could not change it. Where those would be many, the lists are drawn up anew from the rare shingles of the full sets.
+component could not change it.
 """
 
 from __future__ import annotations
@@ -222,7 +222,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, postings: DataFrame) -> DataFra
 
 
 def connectable(sets: DataFrame) -> DataFrame:
-    """Ids of the sets of which enough shingles occur in any other set that they may have a link.
+    """id and ``shared``, the shingles that any other set has too, of the sets that may have a link.
 
     The part of a set that no other has is lost for every intersection, which settles most
     strongly edited copies without a comparison.
@@ -236,24 +236,8 @@ def connectable(sets: DataFrame) -> DataFrame:
     )
     counted = sets.select("id", "n", F.lit(0).alias("alone")).unionByName(alone).groupBy("id")
     sizes = counted.agg(F.max("n").alias("n"), F.sum("alone").alias("alone"))
-    return sizes.where(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")).select("id")
-
-
-def rare_shingles(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """Posting lists like ``posted``, of the rare shingles of the sets ``ids``: token, id, n and weight.
-
-    Two sets with a link share more than what is left of either behind these, so they
-    meet in a list. Shingles that most of a large group has are in none.
-    """
-    shingles = sets.join(sized(ids), "id", "left_semi").select("id", "n", F.explode("shingles").alias("token"))
-    often = shingles.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    of_set = Window.partitionBy("id")  # the shingles of one document
-    ranked = shingles.join(often, "token").withColumns(
-        {"rank": F.row_number().over(of_set.orderBy("often", "token")), "shared": F.count(F.lit(1)).over(of_set)}
-    )
-    needed = F.ceil(F.col("n") * PERCENT / 100)
-    prefix = ranked.where(F.col("rank") <= F.col("shared") - needed + 1)
-    return materialize(prefix.select("token", "id", "n", F.lit(0.0).alias("weight")), "rare_shingles", UNCOMPRESSED)
+    shared = sizes.select("id", "n", (F.col("n") - F.col("alone")).alias("shared"))
+    return shared.where(100 * F.col("shared") >= PERCENT * F.col("n")).select("id", "shared")
 
 
 def similar(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
@@ -311,7 +295,7 @@ def open_lists(postings: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     before the shuffle, so a list of any length is a few rows.
     """
     order = F.col("weight") if turn == 0 else F.xxhash64("id", F.lit(turn)).cast("double")
-    leader = F.max(F.struct(order.alias("order"), "id", "n", "component")).alias("leader")
+    leader = F.max(F.struct(order.alias("order"), "id", "n", "shared", "component")).alias("leader")
     parts = postings.join(sized(labels), "id").groupBy("token", "component").agg(F.count(F.lit(1)).alias("part"), leader)
     lists_ = parts.groupBy("token").agg(
         F.count(F.lit(1)).alias("components"),
@@ -322,25 +306,30 @@ def open_lists(postings: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return materialize(lists_.where("components > 1").drop("components"), "open_lists")
 
 
-def comparable(n: Column, m: Column) -> Column:
-    """Sets of these sizes can be similar enough."""
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def comparable(n: Column, m: Column, shared_n: Column, shared_m: Column) -> Column:
+    """Sets of sizes ``n`` and ``m`` can be similar enough, given how much of each any other set has.
+
+    A link needs PERCENT / (100 + PERCENT) of both sizes in common, for equal sizes six sevenths of each set.
+    """
+    sizes = 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+    return sizes & ((100 + PERCENT) * F.least(shared_n, shared_m) >= PERCENT * (n + m))
 
 
 def leader_pairs(members: DataFrame) -> DataFrame:
     """Pairs of each list's leader with the members outside its component."""
     far = F.col("component") != F.col("leader.component")
-    return members.where(far & comparable(F.col("n"), F.col("leader.n"))).select(
+    close = comparable(F.col("n"), F.col("leader.n"), F.col("shared"), F.col("leader.shared"))
+    return members.where(far & close).select(
         F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")
     )
 
 
 def crossing_pairs(members: DataFrame) -> DataFrame:
     """All pairs of a list that cross components: one of them is outside its largest component."""
-    others = members.where("component <> largest.component").select(
-        "token", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx")
-    )
-    met = others.join(members, "token").where((F.col("component") != F.col("cx")) & comparable(F.col("n"), F.col("nx")))
+    names = {"id": "x", "component": "cx", "n": "nx", "shared": "sx"}
+    others = members.where("component <> largest.component").select("token", *[F.col(k).alias(v) for k, v in names.items()])
+    close = comparable(F.col("n"), F.col("nx"), F.col("shared"), F.col("sx"))
+    met = others.join(members, "token").where((F.col("component") != F.col("cx")) & close)
     return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
 
 
@@ -349,7 +338,7 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     postings = posted(classes)
     sets = sets_of(docs, classes, postings)
     able = materialize(connectable(sets), "connectable")
-    postings = materialize(postings.join(sized(able), "id", "left_semi"), "connectable_postings")
+    postings = materialize(postings.join(sized(able), "id"), "connectable_postings")
     labels = materialize(able.select("id", F.col("id").alias("component")), "components")
     tested: DataFrame | None = None
     for turn in range(LEADER_ROUNDS + 1):
@@ -358,12 +347,7 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         cost, size = found.agg(F.sum(crossing), F.sum("members")).first()
         if not cost:
             break
-        last = turn == LEADER_ROUNDS or cost <= size
-        if last and cost > size:
-            # What the leaders left open is looked for in lists that only links can fill.
-            open_ids = postings.join(sized(found), "token", "left_semi").select("id").distinct()
-            postings = rare_shingles(sets, materialize(open_ids, "open_ids"))
-            found = open_lists(postings, labels, turn)
+        last = turn == LEADER_ROUNDS or cost <= 4 * size
         members = postings.join(sized(labels), "id").join(sized(found), "token")
         pairs = (crossing_pairs if last else leader_pairs)(members).withColumn("tested", F.lit(0))
         if tested is not None:
