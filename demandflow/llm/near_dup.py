@@ -31,7 +31,7 @@ PERCENT = 75  # similarity of a link
 COORDINATES = 64
 # At a similarity of 0.75 the matches are binomial with mean 48 and deviation 3.5; fewer than 33 have a chance of 1e-5.
 MIN_MATCHES = 33
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 6
 UNCOMPRESSED = "uncompressed"  # tables of hashes
 CHUNK_BYTES = 1 << 20  # texts are hashed together up to this size
 SEED = 77
