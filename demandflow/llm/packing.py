@@ -25,6 +25,7 @@ from demandflow.session import materialize, ship_package
 
 CAPACITY = 2048
 END_ID = 0  # follows every document
+BLOCK = 4096  # characters; tiktoken's pattern runs out of stack in white space of about a million
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 SLOTS = "length bigint, first_rank bigint, items bigint, per_bin bigint, first_bin bigint, place bigint"
@@ -32,7 +33,10 @@ SLOTS = "length bigint, first_rank bigint, items bigint, per_bin bigint, first_b
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """A function from a text to its token ids; ``.tiktoken`` rank files and ``.json`` files are known."""
+    """A function from a text to its token ids; ``.tiktoken`` rank files and ``.json`` files are known.
+
+    A rank file is for texts without long white space; the others go to the ``.json`` file beside it.
+    """
     if path.endswith(".tiktoken"):
         import base64
 
@@ -42,7 +46,8 @@ def encoder(path: str):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return coder.encode_ordinary
+        whole = path.removesuffix(".tiktoken") + ".json"
+        return lambda text: encoder(whole)(text) if has_long_space(text) else coder.encode_ordinary(text)
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -50,6 +55,11 @@ def encoder(path: str):
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def has_long_space(text: str) -> bool:
+    """A block of ``text`` is all white space, as one is in every run of 2 * BLOCK - 1 characters."""
+    return len(text) >= BLOCK and any(text[i : i + BLOCK].isspace() for i in range(0, len(text), BLOCK))
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` ids: full ones, but for the first."""
     first = n % capacity or min(n, capacity)

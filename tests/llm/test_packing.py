@@ -32,6 +32,14 @@ def test_both_files_give_the_same_ids(ids, docs):
         assert fast(text) + [0] == ids(text), text[:100]
 
 
+def test_long_white_space(spark, ids):
+    r = random.Random(7)
+    runs = [" " * 2_000_000 + "x", "\n" * 2_000_000, "x" + " \n" * 1_000_000, "a\u3000" + "\x1c" * 9000 + " b"]
+    around = ["x" * r.randrange(5000) + " " * n + "y z" for n in (4095, 4096, 8191, 8192, 1_000_000)]
+    table = spark.createDataFrame(list(enumerate([*runs, *around, "short"])), "doc_id bigint, text string")
+    check(table, ids)
+
+
 def check(table, ids):
     rows = table.collect()
     out = packing.pack(table, RANKS).collect()
