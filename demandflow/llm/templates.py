@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from demandflow.session import materialize, ship_package, sized
 
-MIN_PAGES = 8  # different pages of a host that a template subtree is on, at least,
-MIN_SHARE = 0.25  # and their share of all different pages of the host, which bounds the templates of a host
+BOX, PROSE_IN_ARTICLE = 0, 1  # kinds of subtrees, in the last bit of their hash
+MIN_PAGES = {BOX: 8, PROSE_IN_ARTICLE: 32}  # different pages of a host that a template subtree is on, at least,
+# and their share of all different pages of the host. Articles share sentences, and near copies of one most of theirs.
+MIN_SHARE = {BOX: 0.25, PROSE_IN_ARTICLE: 0.5}
+CELL_WORDS = 4  # shorter cells hold values or labels
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
@@ -41,7 +44,8 @@ INLINE = frozenset(
 )
 MAIN = frozenset(["article", "main"])
 ROOTS = MAIN | {"html", "body"}
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dt dd figcaption".split()) | INLINE
+CELLS = frozenset("td th dt dd".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li figcaption".split()) | CELLS | INLINE
 # No part of an article, by tag, role and words of class or id.
 DROPPED_TAGS = frozenset(
     "head title nav header footer aside form script style noscript template iframe svg canvas button select textarea "
@@ -62,6 +66,9 @@ class Element:
     dropped: bool
     parts: list[str] = field(default_factory=list)  # of the subtree's fingerprint
     inside: bool = False  # of an article
+    parent: Element | None = None
+    has_text: bool = False  # of its own
+    words: int = 0  # of the subtree
     end: int = 0
     hash: int = 0
     holds_main: bool = False
@@ -109,6 +116,7 @@ class Page(HTMLParser):
         element.hash = xxhash.xxh64_intdigest("\x00".join([element.tag, *element.parts]))
         if self.open:
             self.open[-1].parts.append(f"\x01{element.hash}")
+            self.open[-1].words += element.words
             if element.holds_main or element.tag in MAIN:
                 self.open[-1].holds_main = True
         return element
@@ -130,7 +138,7 @@ class Page(HTMLParser):
             self.shut_if_open(CLOSED_BY_BLOCK)
         parent = self.open[-1] if self.open else None
         inside = parent is not None and (parent.inside or parent.tag in MAIN)
-        element = Element(tag, len(self.events), dropped(tag, attrs), inside=inside)
+        element = Element(tag, len(self.events), dropped(tag, attrs), inside=inside, parent=parent)
         self.events.append(element)
         self.elements.append(element)
         self.open.append(element)
@@ -147,22 +155,34 @@ class Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.events.append(data)
-        if self.open and (words := " ".join(data.split())):
-            self.open[-1].parts.append(words)
+        if self.open and (words := data.split()):
+            self.open[-1].parts.append(" ".join(words))
+            self.open[-1].has_text = True
+            self.open[-1].words += len(words)
 
-    def candidates(self) -> Iterator[Element]:
-        """Elements that may belong to a template.
+    def candidates(self) -> Iterator[tuple[Element, int]]:
+        """Elements of the text that may belong to a template, and their keys: the hash with the kind as its last bit.
 
-        Not those that hold the article, and of those inside it no prose: a sentence that many
-        articles share is still theirs.
+        Not those that hold the article, and of those inside it no part of a sentence and no short cell.
         """
+        has_main = any(e.tag in MAIN for e in self.elements)
+        end = 0
         for e in self.elements:
-            if e.parts and e.tag not in ROOTS and not e.holds_main and not (e.inside and e.tag in PROSE):
-                yield e
+            if e.begin < end:
+                continue
+            if e.dropped and not e.holds_main:
+                end = e.end
+            elif e.parts and e.tag not in ROOTS and not e.holds_main and (e.inside or not has_main):
+                prose = e.inside and e.tag in PROSE
+                if prose and e.tag in INLINE and (e.parent.tag in PROSE or e.parent.has_text):
+                    continue
+                if prose and e.tag in CELLS and e.words < CELL_WORDS:
+                    continue
+                yield e, e.hash & ~1 | (PROSE_IN_ARTICLE if prose else BOX)
 
     def text(self, templates: set[int]) -> str:
         """What is left of the articles, or of the body if there is none, blocks parted by one space."""
-        deleted = {id(e) for e in self.candidates() if e.hash in templates} if templates else set()
+        deleted = {id(e) for e, key in self.candidates() if key in templates} if templates else set()
         has_main = any(e.tag in MAIN for e in self.elements)
         out: list[str] = []
         within, i = 0, 0
@@ -200,9 +220,9 @@ def subtrees(pages: DataFrame) -> DataFrame:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = Page(html.as_py())
                 main = xxhash.xxh64_intdigest(page.text(set()))
-                for value in {e.hash for e in page.candidates()} | {0}:  # the 0 counts the page itself
+                for key in [None, *{key for _, key in page.candidates()}]:  # the null counts the page itself
                     hosts.append(host)
-                    found.append(value - (1 << 63) if value else None)
+                    found.append(None if key is None else key - (1 << 63))
                     prints.append(main - (1 << 63))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), pa.array(found, pa.int64()), pa.array(prints, pa.int64())],
@@ -212,22 +232,26 @@ def subtrees(pages: DataFrame) -> DataFrame:
     return pages.select("host", "html").mapInArrow(hashes, "host string, hash bigint, page bigint")
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def by_kind(values: dict[int, float]) -> F.Column:
+    return F.when(F.col("hash") % 2 == BOX, F.lit(values[BOX])).otherwise(F.lit(values[PROSE_IN_ARTICLE]))
+
+
+def site_templates(pages: DataFrame) -> DataFrame:
     """One row per host with the hashes of its template subtrees.
 
     Pages with the same text count once, so that copies of an article do not turn it into a template. A host
-    has at most 1 / ``min_share`` times as many templates as a page has subtrees.
+    has at most 1 / ``MIN_SHARE`` times as many templates as a page has subtrees.
     """
     counts = materialize(
         subtrees(pages).distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")), "subtree_counts"
     )
     totals = counts.where("hash IS NULL").select("host", F.col("pages").alias("total"))
-    often = counts.where((F.col("pages") >= min_pages) & F.col("hash").isNotNull())
-    recurring = often.join(sized(totals), "host").where(F.col("pages") >= min_share * F.col("total"))
+    often = counts.where((F.col("pages") >= by_kind(MIN_PAGES)) & F.col("hash").isNotNull())
+    recurring = often.join(sized(totals), "host").where(F.col("pages") >= by_kind(MIN_SHARE) * F.col("total"))
     return materialize(recurring.groupBy("host").agg(F.collect_list("hash").alias("templates")), "site_templates")
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
     A null or empty page has an empty text; a null or malformed url belongs to an empty host; repeated rows
@@ -241,7 +265,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
         pages["url"].alias("url"),
         F.coalesce(pages["html"], F.lit("")).alias("html"),
     ).withColumn("host", host_of())
-    templates = site_templates(rows, min_pages, min_share)
+    templates = site_templates(rows)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -66,6 +66,21 @@ def test_subtrees_on_many_pages_of_a_host_go(spark):
     assert found[43:] == ["the same page many times"] * 20
 
 
+def test_prose_on_most_pages_of_a_host_goes(spark):
+    notice = "<p>Sign up for our letter.</p><ul><li>Print this <li>own {0}</ul><span>All rights reserved</span>"
+    table = "<table><tr><td>{0}<td>Price<td>Follow us on every channel</table>"
+    inline = "<p>it is <b>not</b> {0}</p>"
+    parts = "<article>" + notice + table + inline + "</article>"
+    many = [("https://a.example/x", page(parts.format(i))) for i in range(40)]
+    shared = "<p>A passage that some articles share.</p>"
+    some = [("https://b.example/x", page(f"<article><p>own {i}</p>{shared if i < 15 else ''}</article>")) for i in range(40)]
+    near = [("https://c.example/x", page(f"<article><p>own {i % 45}</p>{shared * (i < 30)}</article>")) for i in range(90)]
+    found = texts(spark, many + some + near)
+    assert found[:40] == [f"own {i} {i} Price it is not {i}" for i in range(40)]
+    assert found[40:55] == [f"own {i} A passage that some articles share." for i in range(15)]
+    assert found[80:110] == [f"own {i} A passage that some articles share." for i in range(30)]
+
+
 def test_hosts(spark):
     urls = ["https://User@Www.A.example:80/x", "//b.example?q", "no url", "", None, "http://c.example#f"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string").select(templates.host_of().alias("h")).collect()
