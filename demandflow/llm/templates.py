@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 
 from demandflow.session import materialize, ship_package, sized
 
-BOX, PROSE_IN_ARTICLE = 0, 1  # kinds of subtrees, in the last bit of their hash
-MIN_PAGES = {BOX: 8, PROSE_IN_ARTICLE: 32}  # different pages of a host that a template subtree is on, at least,
+# Kinds of subtrees, in the last two bits of their hash: boxes, long ones and prose, prose inside an article.
+BOX, LONG, PROSE_IN_ARTICLE = 0, 1, 2
+MIN_PAGES = {BOX: 8, LONG: 8, PROSE_IN_ARTICLE: 32}  # different pages of a host that a template subtree is on, at least,
 # and their share of all different pages of the host. Articles share sentences, and near copies of one most of theirs.
-MIN_SHARE = {BOX: 0.25, PROSE_IN_ARTICLE: 0.5}
+MIN_SHARE = {BOX: 0.02, LONG: 0.25, PROSE_IN_ARTICLE: 0.5}
+ENOUGH = {BOX: 100, LONG: 1000, PROSE_IN_ARTICLE: float("inf")}  # pages that suffice whatever their share
+LONG_WORDS = 50  # outside links
 CELL_WORDS = 4  # shorter cells hold values or labels
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,7 +71,8 @@ class Element:
     inside: bool = False  # of an article
     parent: Element | None = None
     has_text: bool = False  # of its own
-    words: int = 0  # of the subtree
+    words: int = 0  # of the subtree,
+    linked: int = 0  # and those of them in links
     end: int = 0
     hash: int = 0
     holds_main: bool = False
@@ -117,6 +121,7 @@ class Page(HTMLParser):
         if self.open:
             self.open[-1].parts.append(f"\x01{element.hash}")
             self.open[-1].words += element.words
+            self.open[-1].linked += element.words if element.tag == "a" else element.linked
             if element.holds_main or element.tag in MAIN:
                 self.open[-1].holds_main = True
         return element
@@ -178,7 +183,8 @@ class Page(HTMLParser):
                     continue
                 if prose and e.tag in CELLS and e.words < CELL_WORDS:
                     continue
-                yield e, e.hash & ~1 | (PROSE_IN_ARTICLE if prose else BOX)
+                long = e.tag in PROSE or e.words - e.linked >= LONG_WORDS
+                yield e, e.hash & ~3 | (PROSE_IN_ARTICLE if prose else LONG if long else BOX)
 
     def text(self, templates: set[int]) -> str:
         """What is left of the articles, or of the body if there is none, blocks parted by one space."""
@@ -212,43 +218,56 @@ def host_of(url: str = "url") -> F.Column:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """host, hash and page (fingerprint of the whole page) of every candidate subtree, once per page."""
+    """host, html_hash, hash and page (fingerprint of the page's text) of every candidate subtree, once per page."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, found, prints = [], [], []
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            hosts, htmls, found, prints = [], [], [], []
+            for host, html_hash, html in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True
+            ):
                 page = Page(html.as_py())
                 main = xxhash.xxh64_intdigest(page.text(set()))
                 for key in [None, *{key for _, key in page.candidates()}]:  # the null counts the page itself
                     hosts.append(host)
+                    htmls.append(html_hash)
                     found.append(None if key is None else key - (1 << 63))
                     prints.append(main - (1 << 63))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(found, pa.int64()), pa.array(prints, pa.int64())],
-                ["host", "hash", "page"],
+                [pa.array(hosts, pa.string()), *[pa.array(c, pa.int64()) for c in (htmls, found, prints)]],
+                ["host", "html_hash", "hash", "page"],
             )
 
-    return pages.select("host", "html").mapInArrow(hashes, "host string, hash bigint, page bigint")
+    kinds = "host string, html_hash bigint, hash bigint, page bigint"
+    return pages.select("host", "html_hash", "html").mapInArrow(hashes, kinds)
 
 
 def by_kind(values: dict[int, float]) -> F.Column:
-    return F.when(F.col("hash") % 2 == BOX, F.lit(values[BOX])).otherwise(F.lit(values[PROSE_IN_ARTICLE]))
+    kind = F.col("hash").bitwiseAND(3)
+    return F.when(kind == BOX, float(values[BOX])).when(kind == LONG, float(values[LONG])).otherwise(float(values[PROSE_IN_ARTICLE]))
 
 
-def site_templates(pages: DataFrame) -> DataFrame:
-    """One row per host with the hashes of its template subtrees.
+def site_templates(found: DataFrame) -> DataFrame:
+    """host and hash of every template subtree, from the rows of ``subtrees``.
 
-    Pages with the same text count once, so that copies of an article do not turn it into a template. A host
-    has at most 1 / ``MIN_SHARE`` times as many templates as a page has subtrees.
+    Pages with the same text count once, so that copies of an article do not turn it into a template.
     """
-    counts = materialize(
-        subtrees(pages).distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")), "subtree_counts"
-    )
+    different = found.select("host", "hash", "page").distinct()
+    counts = materialize(different.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")), "subtree_counts")
     totals = counts.where("hash IS NULL").select("host", F.col("pages").alias("total"))
     often = counts.where((F.col("pages") >= by_kind(MIN_PAGES)) & F.col("hash").isNotNull())
-    recurring = often.join(sized(totals), "host").where(F.col("pages") >= by_kind(MIN_SHARE) * F.col("total"))
-    return materialize(recurring.groupBy("host").agg(F.collect_list("hash").alias("templates")), "site_templates")
+    least = F.least(by_kind(MIN_SHARE) * F.col("total"), by_kind(ENOUGH))
+    recurring = often.join(sized(totals), "host").where(F.col("pages") >= least)
+    return materialize(recurring.select("host", "hash"), "site_templates")
+
+
+def templates_of_pages(pages: DataFrame) -> DataFrame:
+    """host, html_hash and the template subtrees of the pages that have any; a list is no longer than its page."""
+    found = materialize(subtrees(pages), "subtrees")
+    hits = found.join(sized(site_templates(found)), ["host", "hash"]).select("host", "html_hash", "hash").distinct()
+    written = materialize(hits, "template_hits")
+    lists = written.groupBy("host", "html_hash").agg(F.collect_list("hash").alias("templates"))
+    return sized(lists, bound=written)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -257,15 +276,15 @@ def main_text(pages: DataFrame) -> DataFrame:
     A null or empty page has an empty text; a null or malformed url belongs to an empty host; repeated rows
     give equal texts; an empty table gives no rows; unclosed and crossed tags are closed the way
     browsers do; columns other than page_id, url and html are not looked at. Html is read twice
-    and only shuffled when the table of hosts with templates is too large to broadcast.
+    and only shuffled when the table of the pages' templates is too large to broadcast.
     """
     ship_package(pages.sparkSession)
     rows = pages.select(
         pages["page_id"].cast("bigint").alias("page_id"),
         pages["url"].alias("url"),
         F.coalesce(pages["html"], F.lit("")).alias("html"),
-    ).withColumn("host", host_of())
-    templates = site_templates(rows)
+    ).withColumns({"host": host_of(), "html_hash": F.xxhash64("html")})
+    templates = templates_of_pages(rows)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,5 +296,5 @@ def main_text(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    joined = rows.join(sized(templates), "host", "left").select("page_id", "url", "html", "templates")
+    joined = rows.join(templates, ["host", "html_hash"], "left").select("page_id", "url", "html", "templates")
     return joined.mapInArrow(extract, "page_id bigint, url string, text string, n_chars bigint")

@@ -81,6 +81,19 @@ def test_prose_on_most_pages_of_a_host_goes(spark):
     assert found[80:110] == [f"own {i} A passage that some articles share." for i in range(30)]
 
 
+def test_boxes_in_many_variants_go(spark):
+    menu = "<div><ul><li><a>Section {0}</a><li><a>All of {0}</a></ul></div>"
+    long = "<div>" + "a passage of an article that some near copies share " * 6 + "</div>"
+    few = "<div>on a few pages</div>"
+    rows = [
+        f"<article><p>own {i}</p>{menu.format(i % 12)}{long if i < 20 else ''}{few if i > 192 else ''}</article>" for i in range(200)
+    ]
+    found = texts(spark, [("https://a.example/x", page(a)) for a in rows])
+    assert found[20:193] == [f"own {i}" for i in range(20, 193)]
+    assert found[0] == "own 0 " + ("a passage of an article that some near copies share " * 6).strip()
+    assert found[199] == "own 199 on a few pages"
+
+
 def test_hosts(spark):
     urls = ["https://User@Www.A.example:80/x", "//b.example?q", "no url", "", None, "http://c.example#f"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string").select(templates.host_of().alias("h")).collect()
