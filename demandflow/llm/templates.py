@@ -49,6 +49,7 @@ MAIN = frozenset(["article", "main"])
 ROOTS = MAIN | {"html", "body"}
 CELLS = frozenset("td th dt dd".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li figcaption".split()) | CELLS | INLINE
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # No part of an article, by tag, role and words of class or id.
 DROPPED_TAGS = frozenset(
     "head title nav header footer aside form script style noscript template iframe svg canvas button select textarea "
@@ -60,6 +61,16 @@ DROPPED_WORDS = frozenset(
     "disqus footer masthead menu nav navbar navigation newsletter notice notices popup promo promotion related "
     "respond share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+# Words that a name made of them and the above ones may have besides; others give it a meaning of its own.
+NEUTRAL_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons container content entry form global group header icons inner item items "
+    "left link links list main mobile module outer panel post posts primary right row secondary section site signup slot text "
+    "thread title top unit wrap wrapper".split()
+)
+# An article within these is none of the page's own: comments and teasers.
+APART_TAGS = frozenset("nav footer aside dialog menu".split())
+APART_ROLES = DROPPED_ROLES - {"banner"}
+APART_WORDS = frozenset("comment comments disqus footer menu nav navigation related respond sidebar".split())
 
 
 @dataclass
@@ -75,15 +86,26 @@ class Element:
     linked: int = 0  # and those of them in links
     end: int = 0
     hash: int = 0
+    apart: bool = False  # in or itself an element whose articles are not the page's own
+    main: bool = False  # an article of the page itself
     holds_main: bool = False
 
 
-def dropped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """An element is no part of an article by its own tag and attributes."""
+def named(value: str, words: frozenset[str]) -> bool:
+    """One of the names in ``value`` is made of ``words`` and neutral ones."""
+    for name in value.split():
+        parts = {w for w in re.split(r"[^a-z0-9]+", name) if w and not w[0].isdigit()}
+        if not parts.isdisjoint(words) and parts <= DROPPED_WORDS | NEUTRAL_WORDS:
+            return True
+    return False
+
+
+def dropped(tag: str, attrs: list[tuple[str, str | None]], inside: bool = False) -> bool:
+    """An element, ``inside`` an article or not, is no part of an article by its own tag and attributes."""
     if tag in DROPPED_TAGS:
         return True
     if tag in ROOTS:
-        return False
+        return tag == "article" and any(n == "class" and named((v or "").lower(), APART_WORDS) for n, v in attrs)
     for name, value in attrs:
         if name == "hidden":
             return True
@@ -94,11 +116,21 @@ def dropped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and not DROPPED_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+        # Ids of headings and sections in an article are made of their titles.
+        if name == "class" and tag not in HEADINGS or name == "id" and not (tag in HEADINGS or inside and tag == "section"):
+            if named(value, DROPPED_WORDS):
+                return True
     return False
 
 
+def apart(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Articles in a dropped element of this kind are not the page's own."""
+    if tag in APART_TAGS or tag in ROOTS:
+        return True
+    values = [(name, (value or "").lower()) for name, value in attrs]
+    return any(n == "role" and v in APART_ROLES or n in ("class", "id") and named(v, APART_WORDS) for n, v in values)
+
+
 class Page(HTMLParser):
     """The events of a page in order: its texts, and its elements at their openings and closings."""
 
@@ -122,7 +154,7 @@ class Page(HTMLParser):
             self.open[-1].parts.append(f"\x01{element.hash}")
             self.open[-1].words += element.words
             self.open[-1].linked += element.words if element.tag == "a" else element.linked
-            if element.holds_main or element.tag in MAIN:
+            if element.holds_main or element.main:
                 self.open[-1].holds_main = True
         return element
 
@@ -142,8 +174,10 @@ class Page(HTMLParser):
         elif tag not in INLINE and tag not in VOID:
             self.shut_if_open(CLOSED_BY_BLOCK)
         parent = self.open[-1] if self.open else None
-        inside = parent is not None and (parent.inside or parent.tag in MAIN)
-        element = Element(tag, len(self.events), dropped(tag, attrs), inside=inside, parent=parent)
+        inside = parent is not None and (parent.inside or parent.main)
+        element = Element(tag, len(self.events), dropped(tag, attrs, inside), inside=inside, parent=parent)
+        element.apart = (parent is not None and parent.apart) or (element.dropped and apart(tag, attrs))
+        element.main = tag in MAIN and not element.apart
         self.events.append(element)
         self.elements.append(element)
         self.open.append(element)
@@ -170,7 +204,7 @@ class Page(HTMLParser):
 
         Not those that hold the article, and of those inside it no part of a sentence and no short cell.
         """
-        has_main = any(e.tag in MAIN for e in self.elements)
+        has_main = any(e.main for e in self.elements)
         end = 0
         for e in self.elements:
             if e.begin < end:
@@ -189,7 +223,7 @@ class Page(HTMLParser):
     def text(self, templates: set[int]) -> str:
         """What is left of the articles, or of the body if there is none, blocks parted by one space."""
         deleted = {id(e) for e, key in self.candidates() if key in templates} if templates else set()
-        has_main = any(e.tag in MAIN for e in self.elements)
+        has_main = any(e.main for e in self.elements)
         out: list[str] = []
         within, i = 0, 0
         while i < len(self.events):
@@ -202,10 +236,10 @@ class Page(HTMLParser):
                     i = event.end
                     out.append(" " if event.tag not in INLINE else "")
                 else:
-                    within += event.tag in MAIN
+                    within += event.main
                     out.append(" " if event.tag not in INLINE else "")
             else:
-                within -= event.tag in MAIN
+                within -= event.main
                 out.append(" " if event.tag not in INLINE else "")
             i += 1
         return " ".join("".join(out).split())

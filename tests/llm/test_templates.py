@@ -52,6 +52,24 @@ def test_markup(spark):
     assert found == [t for _, t in cases]
 
 
+def test_names_of_sections_and_comments(spark):
+    comments = "<div id=comments><li class=comment><article class='comment-body'><p>first!</p></article></li></div>"
+    cases = [
+        (page("<article><section id='social-and-economic-impact'><p>a</p></section><h2 id=related-work>b</h2></article>"), "a b"),
+        (page("<article><div class='share-prices'>a</div><h2 class=related>b</h2><section id=comments>c</section></article>"), "a b c"),
+        (page("<div class='content has-sidebar'><p>all of it</p></div><div class='sidebar-left'>no</div>"), "all of it"),
+        (page(f"<article><p>post</p>{comments}</article>"), "post"),
+        (page(f"<main><article><p>post</p></article>{comments}</main>"), "post"),
+        (page(f"<article><p>post</p></article>{comments}"), "post"),
+        (page("<p>no article</p>" + comments), "no article"),
+        (page("<article>post</article><article class=comment>reader</article>"), "post"),
+        (page("<article>post</article><aside><article>teaser</article></aside><footer><article>more</article></footer>"), "post"),
+        (page("<form><article><p>kept</p></article></form>"), "kept"),
+        (page("<article class='post has-sidebar'><p>kept</p><ul class='share-buttons'><li>no</ul></article>"), "kept"),
+    ]
+    assert texts(spark, [("http://h.example/", h) for h, _ in cases]) == [t for _, t in cases]
+
+
 def test_subtrees_on_many_pages_of_a_host_go(spark):
     box = "<div><span>Read our best stories</span><span>every day</span></div>"
     line = "<p>Released under the same licence.</p>"
