@@ -81,6 +81,15 @@ def test_better_documents_come_sooner(spark):
     assert n[0] > 3 * n[1]
 
 
+def test_sources_of_the_smallest_weight(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("## $$ ##").alias("text"), F.lit("s").alias("source"))
+    rows = mixing.measured(docs, docs["doc_id"])
+    assert rows.select("p").distinct().count() == 20_000
+    assert rows.groupBy("part").count().agg(F.max("count")).first()[0] <= 3
+    for share in (0.7, 0.99, 0.9999):
+        assert abs(mixing.mix(docs, share=share).agg(F.sum("taken")).first()[0] - share * 60_000) <= 3
+
+
 def test_odd_rows(odd, clashing, empty):
     out = check(odd, odd.collect())
     again = mixing.mix(clashing).collect()
