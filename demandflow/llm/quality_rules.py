@@ -2,7 +2,8 @@
 
 Counts decide the plain cases. For the rest, two histograms of the document, of
 character classes and of the common words of its language, are compared with
-those of all documents of the language by the Jensen-Shannon distance.
+those of all documents of the language by the Jensen-Shannon distance. In languages
+with few words the classes are compared with those of all documents.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ class Rules:
     common_words: int = 16  # of each language, 60 at most
     common_length: int = 4  # code points of a common word at most; such words carry grammar, not topics
     guard_words: int = 80  # shorter documents are not compared with their language
-    guard_language: int = 2_000  # nor are those of languages with fewer short words in all
+    guard_language: int = 2_000  # languages with fewer short words in all have no list of common ones
     max_class_distance: float = 0.30
     max_word_distance: float = 0.55
 
@@ -114,13 +115,16 @@ def counted(docs: DataFrame, *keep: Column) -> DataFrame:
 def references(docs: DataFrame, rules: Rules) -> DataFrame:
     """One row per language: its common words, and the shares of its common words and character classes.
 
-    Both are counted over all documents of the language; a null language is one too.
+    Both are counted over all documents of the language; a null language is one too. The classes of
+    a language below ``guard_language`` are those of all languages together, six sums that are read back.
     """
     text = text_of(docs)
     texts = docs.select(docs["lang"].alias("lang"), text.alias("text"))
     classes = texts.select("lang", class_counts(F.col("text")).alias("c"))
     names = [f"c{i}" for i in range(6)]
-    by_class = classes.groupBy("lang").agg(*[F.sum(F.get("c", i)).alias(n) for i, n in enumerate(names)])
+    sums = classes.groupBy("lang").agg(*[F.sum(F.get("c", i)).alias(n) for i, n in enumerate(names)])
+    by_class = materialize(sums, "language_classes")
+    of_all = F.array(*[F.lit(n or 0).cast("bigint") for n in by_class.agg(*[F.sum(n) for n in names]).first()])
     words = texts.select("lang", F.explode(F.split("text", SPACE)).alias("word"))
     short = words.where(F.length("word").between(1, rules.common_length)).select("lang", F.lower("word").alias("word"))
     counts = materialize(short.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "language_words")
@@ -129,6 +133,7 @@ def references(docs: DataFrame, rules: Rules) -> DataFrame:
     listed = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     joined = join_null_safe(join_null_safe(by_class, listed, "lang", how="left"), totals, "lang", how="left")
+    few = F.coalesce("total", F.lit(0)) < rules.guard_language
     common = F.coalesce(F.col("top"), F.array().cast("array<struct<rank:int,word:string,n:bigint>>"))
     return materialize(
         joined.select(
@@ -136,7 +141,7 @@ def references(docs: DataFrame, rules: Rules) -> DataFrame:
             F.coalesce("total", F.lit(0)).alias("language_words"),
             F.transform(common, lambda t: t["word"]).alias("common"),
             with_rest(F.transform(common, lambda t: t["n"]), F.coalesce("total", F.lit(0))).alias("word_reference"),
-            F.array(*names).alias("class_reference"),
+            F.when(few, of_all).otherwise(F.array(*names)).alias("class_reference"),
         ),
         "language_references",
     )
@@ -182,18 +187,19 @@ def judged(docs: DataFrame, rules: Rules, *keep: Column) -> DataFrame:
     Columns n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance, word_distance, kept. A null text has no words and fails; a null
     language is a language of its own; an empty table gives no rows; equal rows get
-    equal verdicts. The distances are null where a guard holds, and then do not
-    reject. Rows are not shuffled.
+    equal verdicts. Both distances are null for documents shorter than ``guard_words``, the word distance
+    also for languages below ``guard_language``, and then do not reject. Rows are not shuffled.
     """
     reference = references(docs, rules)
     rows = counted(docs, *keep)
     joined = join_null_safe(rows, sized(reference), "lang", how="left")
-    guarded = (F.col("n_words") >= rules.guard_words) & (F.col("language_words") >= rules.guard_language)
+    long = F.col("n_words") >= rules.guard_words
+    listed = long & (F.col("language_words") >= rules.guard_language)
     counts = common_counts(F.col("words"), F.col("common"), rules.common_length)
-    measured = joined.withColumn("word_counts", F.when(guarded, counts)).withColumns(
+    measured = joined.withColumn("word_counts", F.when(listed, counts)).withColumns(
         {
-            "class_distance": F.when(guarded, divergence(F.col("classes"), F.col("class_reference"))),
-            "word_distance": F.when(guarded, divergence(F.col("word_counts"), F.col("word_reference"))),
+            "class_distance": F.when(long, divergence(F.col("classes"), F.col("class_reference"))),
+            "word_distance": F.when(listed, divergence(F.col("word_counts"), F.col("word_reference"))),
             "base_failed": (F.col("n_words") < rules.min_words)
             | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")),
         }

@@ -58,6 +58,18 @@ def test_good_documents_stay_and_junk_goes(docs, folder):
     assert n.get((0, False), 0) > n.get((0, True), 0)
 
 
+def test_classes_are_compared_in_small_languages_too(spark):
+    good = [(i, " ".join(f"{'some words of plain text here'.split()[(i * k) % 6]}{chr(97 + k % 26)}" for k in range(120)), "en") for i in range(40)]
+    plain = " ".join(f"sana{chr(97 + k % 26)}{chr(97 + k // 26)} ja" for k in range(60))
+    junk = " ".join(f"#$%&|{k}***" for k in range(120))
+    small = [(100, plain, "fi"), (101, junk, "fi"), (102, junk, None)]
+    for table in (good + small, good[:10] + small[:2]):
+        out = {r["doc_id"]: r for r in judged(spark.createDataFrame(table, "doc_id bigint, text string, lang string")).collect()}
+        assert out[100]["kept"] and not out[101]["kept"] and not out[101]["base_failed"]
+        assert out[100]["class_distance"] is not None and out[100]["word_distance"] is None
+    assert out[101]["class_distance"] > 0.3
+
+
 def test_odd_rows(odd, clashing, empty):
     a, b = (sorted(map(str, judged(t).collect())) for t in (odd, clashing))
     assert a == b and len(a) == odd.count()
