@@ -23,7 +23,8 @@ from demandflow.session import ship_package
 
 FOLDS, HELD_OUT = 5, 0
 PER_CLASS = 1500  # labelled documents of each class at most
-TRAIN_CHUNKS = 12  # of a document in training, spread over it; scoring takes all
+TRAIN_BYTES = 16_000_000  # of the texts of a class in training, whole texts only
+SLICE = 1024  # chunks that training pools at a time
 WIDTH = 4  # bytes of a filter
 FILTERS = 16
 HIDDEN = 16
@@ -121,6 +122,12 @@ def pool(net: Net, chunks: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray,
     return np.take_along_axis(sums, at[:, None, :], axis=1)[:, 0, :], at
 
 
+def pool_all(net: Net, chunks: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``pool`` of any number of chunks, SLICE at a time."""
+    parts = [pool(net, chunks[i : i + SLICE], lengths[i : i + SLICE]) for i in range(0, len(chunks), SLICE)]
+    return np.concatenate([p for p, _ in parts]), np.concatenate([a for _, a in parts])
+
+
 def train(chunks: list[np.ndarray], lengths: list[np.ndarray], bad: np.ndarray, epochs: int = EPOCHS) -> Net:
     """Logistic loss of the documents' strongest evidence, by Adam; classes weigh the same.
 
@@ -137,7 +144,7 @@ def train(chunks: list[np.ndarray], lengths: list[np.ndarray], bad: np.ndarray,
             counts = np.array([len(chunks[i]) for i in batch])
             starts = np.cumsum(counts) - counts
             x, n = np.concatenate([chunks[i] for i in batch]), np.concatenate([lengths[i] for i in batch])
-            pooled, at = pool(net, x, n)
+            pooled, at = pool_all(net, x, n)
             evidence, inner, features = net.head(pooled)
             strongest = np.array([s + evidence[s : s + c].argmax() for s, c in zip(starts, counts, strict=True)])
             y = bad[batch]
@@ -166,39 +173,43 @@ def train(chunks: list[np.ndarray], lengths: list[np.ndarray], bad: np.ndarray,
     return net
 
 
-def training_chunks(texts: DataFrame) -> DataFrame:
-    """label, chunks and their lengths of each sampled text: at most TRAIN_CHUNKS, evenly spread."""
+def whole_texts(sizes: list[tuple[int, int, int]], most: int = TRAIN_BYTES) -> set[int]:
+    """Of (doc_id, label, bytes) the ids, in order, whose texts together have at most ``most`` bytes a label.
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, lengths = [], []
-            for text in batch.column(1):
-                data = text.as_py().encode("utf-8", "replace")
-                every = cut(data)
-                places = np.unique(np.linspace(0, len(every) - 1, TRAIN_CHUNKS).astype(int))
-                rows.append(every[places].tobytes())
-                lengths.append([min(CHUNK, max(0, len(data) - STEP * int(i))) for i in places])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(rows, pa.binary()), pa.array(lengths, pa.list_(pa.int64()))],
-                ["doc_id", "label", "chunks", "lengths"],
-            )
-
-    return texts.mapInArrow(take, "doc_id bigint, label int, chunks binary, lengths array<bigint>")
+    A text that does not fit any more is passed over whole; where none fits, the shortest is taken.
+    """
+    chosen: set[int] = set()
+    for label in {label for _, label, _ in sizes}:
+        of_label = [(doc_id, n) for doc_id, k, n in sizes if k == label]
+        room, taken = most, []
+        for doc_id, n in of_label:
+            if n <= room:
+                taken.append(doc_id)
+                room -= n
+        chosen.update(taken or [min(of_label, key=lambda x: x[1])[0]])
+    return chosen
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Net | None:
-    """A network trained on the sample, none if it holds fewer than two classes.
+    """A network trained on all chunks of the sample, none if it holds fewer than two classes.
 
-    The driver gets at most 2 * PER_CLASS * TRAIN_CHUNKS chunks.
+    The driver gets at most 2 * PER_CLASS whole texts of TRAIN_BYTES a class, or one that is longer.
     """
     texts = sample(docs, labels, label, FOLDS, HELD_OUT, PER_CLASS)
     typed = texts.select(F.col("doc_id").cast("bigint"), "text", "label")
-    rows = sorted(training_chunks(typed).collect(), key=lambda r: r["doc_id"])
+    order = F.xxhash64("doc_id"), "doc_id"
+    sizes = typed.orderBy(*order).select("doc_id", "label", F.octet_length("text").alias("n")).collect()
+    chosen = whole_texts([tuple(r) for r in sizes])
+    if len(chosen) < len(sizes):
+        typed = typed.where(F.col("doc_id").isin(list(chosen)))
+    rows = sorted(typed.collect(), key=lambda r: r["doc_id"])
     bad = np.array([1 - r["label"] for r in rows], dtype=np.float32)
     if len(set(bad.tolist())) < 2:
         return None
-    chunks = [np.frombuffer(r["chunks"], dtype=np.uint8).reshape(-1, CHUNK) for r in rows]
-    return train(chunks, [np.array(r["lengths"]) for r in rows], bad)
+    data = [r["text"].encode("utf-8", "replace") for r in rows]
+    chunks = [cut(d) for d in data]
+    lengths = [np.clip(len(d) - STEP * np.arange(len(c)), 0, CHUNK) for d, c in zip(data, chunks, strict=True)]
+    return train(chunks, lengths, bad)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -57,6 +57,30 @@ def test_scoring_pools_the_same_windows_as_training():
     assert np.allclose(scorer.pooled(data).max(axis=0), pooled.max(axis=0), atol=1e-5)
 
 
+def test_training_reads_every_chunk(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(byte_cnn, "train", lambda chunks, lengths, bad: seen.append((chunks, lengths)))
+    texts = {i: f"{i} " + "né text " * (i * 997) for i in range(1, 9)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id bigint, quality int")
+    byte_cnn.fitted(docs, labels)
+    [(chunks, lengths)] = seen
+    used = [i for i in texts if zlib.crc32(str(i).encode()) % 5 != 0]
+    assert [len(c) for c in chunks] == [len(byte_cnn.cut(texts[i].encode())) for i in used] and max(map(len, chunks)) > 100
+    assert all(n[-1] == len(texts[i].encode()) - byte_cnn.STEP * (len(n) - 1) for n, i in zip(lengths, used, strict=True))
+    net, many = byte_cnn.Net.fresh(), np.concatenate(chunks)[:2500]
+    full = np.full(len(many), byte_cnn.CHUNK)
+    pooled, at = byte_cnn.pool_all(net, many, full)
+    last, last_at = byte_cnn.pool(net, many[-50:], full[-50:])
+    assert (pooled[-50:] == last).all() and (at[-50:] == last_at).all()
+
+
+def test_whole_texts_up_to_a_size():
+    sizes = [(1, 0, 50), (2, 0, 60), (3, 0, 40), (4, 1, 500), (5, 1, 300)]
+    assert byte_cnn.whole_texts(sizes, 100) == {1, 3, 5}
+    assert byte_cnn.whole_texts(sizes, 1000) == {1, 2, 3, 4, 5}
+
+
 def test_the_end_of_a_long_text_counts(spark, folder):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     net = byte_cnn.fitted(docs, labels)
