@@ -12,6 +12,7 @@ import corpus_pipeline
 from demandflow.llm import (
     byte_cnn,
     dedup,
+    line_dedup,
     mixing,
     near_dup,
     packing,
@@ -134,6 +135,29 @@ def op10_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that many documents share."""
+    kept = line_dedup.without_shared_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op11_line_runs"] = r"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM texts),
+keyed AS (
+  SELECT *, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+shared AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT k.*, coalesce(k.doc_id < s.top, false) AS gone FROM keyed k LEFT JOIN shared s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
