@@ -19,6 +19,7 @@ from demandflow.llm import (
     pii,
     quality_rules,
     secret_scan,
+    spelling,
     templates,
     toxicity,
 )
@@ -158,6 +159,12 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its near words and the form it is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
