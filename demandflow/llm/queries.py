@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from demandflow.llm import (
     byte_cnn,
+    collocations,
     dedup,
     line_dedup,
     mixing,
@@ -165,6 +166,48 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+placed AS (
+  SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+  FROM worded CROSS JOIN (VALUES (1), (2), (3), (4)) AS sizes(size)
+  WHERE len(words) >= size),
+counted AS (
+  SELECT lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, size, count(*) AS a FROM placed GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+frequent AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS words FROM counted WHERE a >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.size, c.k, p.a AS l, q.a AS r,
+         CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(p.a AS HUGEINT) + q.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM frequent WHERE size > 1) c
+  JOIN frequent p ON p.lang = c.lang AND p.phrase = array_to_string(c.words[1:c.k], ' ')
+  JOIN frequent q ON q.lang = c.lang AND q.phrase = array_to_string(c.words[c.k + 1:c.size], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, a AS longer, array_to_string(words[i:i + part - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, size - part + 2)) AS i
+        FROM frequent CROSS JOIN (VALUES (2), (3)) AS parts(part) WHERE size > part)),
+most AS (SELECT lang, phrase, max(longer) AS longer FROM inner_parts GROUP BY ALL),
+live AS (
+  SELECT lowest.* FROM lowest LEFT JOIN most USING (lang, phrase)
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a),
+numbered AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM live)
+SELECT lang, rank, phrase, a, l, r, n, score FROM numbered JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
