@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandflow.plans.curves import additive_forecast, holt_winters_forecast
 from demandflow.session import ship_package
 
 Forecaster = Callable[[pd.Series, int], np.ndarray]
@@ -62,6 +63,19 @@ def arima_forecast(order: tuple[int, int, int]) -> Forecaster:
     return forecast
 
 
+def forecaster_of(model_type: str, order: tuple[int, int, int]) -> Forecaster:
+    """A local model by name."""
+    known: dict[str, Forecaster] = {
+        "seasonal_local": seasonal_forecast,
+        "arima_local": arima_forecast(order),
+        "additive_local": additive_forecast,
+        "holt_winters": holt_winters_forecast,
+    }
+    if model_type not in known:
+        raise ValueError(f"unknown local model {model_type!r}")
+    return known[model_type]
+
+
 def fit_predict_local(
     train: DataFrame,
     test: DataFrame,
@@ -72,18 +86,20 @@ def fit_predict_local(
     target_col: str = "sales",
     order: tuple[int, int, int] = (1, 1, 1),
     freq: str = "D",
+    regressors: Sequence[str] = (),
 ) -> DataFrame:
     """Fit each series and pair its forecast with every test row.
 
     A series is put on a regular index of ``freq`` first, missing days between two
     observations being interpolated, and is forecast up to its own last test day,
     ``horizon`` periods at least. Test rows of a series without training rows have
-    no prediction.
+    no prediction. ``regressors``, such as holidays, are columns of both parts that the additive model
+    takes; days without a row, or without a value, have 0.
     """
-    if model_type not in ("seasonal_local", "arima_local"):
-        raise ValueError(f"unknown local model {model_type!r}")
+    forecaster = forecaster_of(model_type, order)
+    if regressors and model_type != "additive_local":
+        raise ValueError(f"{model_type} takes no regressors")
     ship_package(train.sparkSession)
-    forecaster = seasonal_forecast if model_type == "seasonal_local" else arima_forecast(order)
     keys = list(group_cols)
     schema = T.StructType(
         [*[train.schema[c] for c in keys], T.StructField(date_col, T.DateType()), T.StructField("prediction", T.DoubleType())]
@@ -99,13 +115,19 @@ def fit_predict_local(
         days = pd.date_range(y.index[-1], max(last, y.index[-1]), freq=freq)[1:]
         if len(days) < horizon:
             days = pd.date_range(y.index[-1], periods=horizon + 1, freq=freq)[1:]
-        values = forecaster(y, len(days)) if len(days) else np.empty(0)
+        if regressors:
+            by_day = rows.drop_duplicates(date_col).set_index(pd.DatetimeIndex(rows.drop_duplicates(date_col)[date_col]))
+            columns = by_day[list(regressors)].astype(float).reindex(y.index.append(days)).fillna(0.0).to_numpy()
+            values = forecaster(y, len(days), columns[: len(y)], columns[len(y) :]) if len(days) else np.empty(0)
+        else:
+            values = forecaster(y, len(days)) if len(days) else np.empty(0)
         return pd.DataFrame({**dict(zip(keys, key, strict=True)), date_col: days.date, "prediction": values})
 
-    # One row per series tells how far to go; the rest of the test part does not travel to the models.
-    ends = test.groupBy(*keys).agg(F.max(date_col).alias(date_col))
-    history = train.select(*keys, date_col, F.col(target_col).cast("double").alias(target_col), F.lit(0).alias("_test"))
-    goals = ends.select(*keys, date_col, F.lit(None).cast("double").alias(target_col), F.lit(1).alias("_test"))
+    # One row per series tells how far to go; the rest of the test part travels to the models for its regressors only.
+    ends = test if regressors else test.groupBy(*keys).agg(F.max(date_col).alias(date_col))
+    shared = [*keys, date_col, *[F.col(c).cast("double").alias(c) for c in regressors]]
+    history = train.select(*shared, F.col(target_col).cast("double").alias(target_col), F.lit(0).alias("_test"))
+    goals = ends.select(*shared, F.lit(None).cast("double").alias(target_col), F.lit(1).alias("_test"))
     forecasts = history.unionByName(goals).groupBy(*keys).applyInPandas(one_series, schema)
     actuals = test.select(*keys, date_col, test[target_col].alias("y"))
     return actuals.join(forecasts, [*keys, date_col], "left").select(*keys, date_col, "y", "prediction")

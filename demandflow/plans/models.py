@@ -29,13 +29,14 @@ ESTIMATORS: dict[str, type[Estimator]] = {
     "glm": LinearRegression,
 }
 LOCAL_MODELS = ("seasonal_local", "arima_local")
+CURVE_MODELS = ("additive_local", "holt_winters")
 UNUSABLE_CODE = "keep"  # unseen categories get their own index
 
 
 def make_estimator(kind: str, params: Mapping[str, Any] | None = None) -> Estimator:
     """A regressor by name."""
     if kind not in ESTIMATORS:
-        raise ValueError(f"unknown model type {kind!r}; known: {sorted(ESTIMATORS)} and local {list(LOCAL_MODELS)}")
+        raise ValueError(f"unknown model type {kind!r}; known: {sorted(ESTIMATORS)} and local {[*LOCAL_MODELS, *CURVE_MODELS]}")
     return ESTIMATORS[kind](featuresCol="features", labelCol="label", **(params or {}))
 
 

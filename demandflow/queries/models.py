@@ -21,13 +21,14 @@ from demandflow.operators import metrics as m
 from demandflow.operators import splits as sp
 from demandflow.operators.encode import category_codes, category_values, encode
 from demandflow.operators.features import build_features, existing, rolling_stats
-from demandflow.plans import clusters
+from demandflow.plans import clusters, search
+from demandflow.plans import grouped_models as gm
 from demandflow.plans import models as mo
 from demandflow.plans.forecast import model_backtest
 from demandflow.plans.forecast import run_forecast as run
 from demandflow.plans.local_models import fit_predict_local
 from demandflow.queries import query
-from demandflow.queries.common import SERIES, STORE_SERIES, retail
+from demandflow.queries.common import SERIES, STORE_SERIES, retail, rounded
 from demandflow.session import dimension_join, materialize
 
 KEYS = (*SERIES, "date")
@@ -214,6 +215,71 @@ def model_reload_diff(spark: SparkSession, folder: str) -> DataFrame:
     return mo.reload_difference(model, sp.part(split, sp.VALIDATION).select(*KEYS, *NUMERIC), KEYS)
 
 
+# --- all groups at once -----------------------------------------------------------------------------
+
+PROMO_FEATURES = ("onpromotion", "dow")
+
+
+def _promo_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return retail(spark, folder).series.withColumn("dow", F.dayofweek("date"))
+
+
+@query
+def family_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """The sums that the models of all families are solved from."""
+    sums = gm.moments(_promo_rows(spark, folder), ["family"], gm.features_of(PROMO_FEATURES), "sales")
+    names = {"x": PROMO_FEATURES, "xy": [f"{c}_sales" for c in PROMO_FEATURES]}
+    names["xx"] = ["onpromotion_onpromotion", "onpromotion_dow", "dow_dow"]
+    arrays = [F.get(F.col(a), F.lit(i)).alias(f"sum_{c}") for a, columns in names.items() for i, c in enumerate(columns)]
+    whole = [F.col("y").alias("sum_sales"), F.col("yy").alias("sum_sales_sales")]
+    return sums.select("family", F.col("n").alias("row_count"), *whole, *arrays)
+
+
+@query
+def family_promo_effect(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales per promotion of every family: a least-squares line each, all from one aggregation."""
+    rows, features = _promo_rows(spark, folder), gm.features_of(["onpromotion"])
+    centre = gm.centres(rows, features, "sales")
+    sums = gm.moments(rows, ["family"], features, "sales", centre)
+    lines = gm.solved(sums, ["family"], features, "sales", centre)
+    slope = F.get(F.col("coefficients"), F.lit(0)).alias("slope")
+    return rounded(lines.select("family", F.col("n").alias("row_count"), slope, "intercept"))
+
+
+@query
+def family_ridge(spark: SparkSession, folder: str) -> DataFrame:
+    """Test errors of the ridge models of all strategies, fitted together."""
+    split = materialize(sp.split_horizon(_features(spark, folder), SERIES, 28, 56), "split")
+    errors = m.forecast_errors(m.family_daily(retail(spark, folder).pred))
+    groups = materialize(m.family_groups(errors), "family_groups")
+    states = [r[0] for r in split.select("state").distinct().orderBy("state").collect()]  # the regions
+    features = gm.features_of(NUMERIC, {"state": states[1:]})
+    train, test = sp.part(split, sp.TRAIN), sp.part(split, sp.TEST)
+    scored = gm.train_together(train, test, gm.STRATEGIES, "sales", features, KEYS, 0.1, 30, groups)[1]
+    return m.regression_metrics(scored, ["model_strategy", "model_name"])
+
+
+@query
+def tuning_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Trials that are proposed from earlier ones."""
+    split = materialize(sp.split_last_days(_features(spark, folder)), "split")
+    trials = search.search_boosting(split, "sales", SERIES, NUMERIC, budgets=(3, 9), rounds=3, width=4)
+    return trials.withColumn("params", F.to_json("params"))
+
+
+@query
+def local_curves(spark: SparkSession, folder: str) -> DataFrame:
+    """Additive curves, with promotions, and exponential smoothing of every series."""
+    split = materialize(sp.split_horizon(retail(spark, folder).series, SERIES, 28, 56), "split")
+    train, test = sp.part(split, sp.TRAIN), sp.part(split, sp.TEST)
+    scored = []
+    for kind in mo.CURVE_MODELS:
+        columns = ["onpromotion"] if kind == "additive_local" else []
+        one = fit_predict_local(train, test, kind, SERIES, 28, regressors=columns)
+        scored.append(one.withColumn("model_name", F.lit(kind)))
+    return reduce(DataFrame.unionByName, scored)
+
+
 # --- error clusters ------------------------------------------------------------------------------
 
 

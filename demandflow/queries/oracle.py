@@ -553,6 +553,18 @@ _BODIES["error_by_date"] = """
 SELECT date, split, y, prediction, y - prediction AS error, ABS(y - prediction) AS abs_error,
        ROUND((y - prediction) / (y + 1e-10) * 100, 6) AS pct_error
 FROM (SELECT date, split, SUM(y) AS y, SUM(prediction) AS prediction FROM pred_split GROUP BY 1, 2)"""
+_BODIES["family_moments"] = """
+SELECT family, COUNT(*) AS row_count, SUM(sales) AS sum_sales, SUM(sales * sales) AS sum_sales_sales,
+       CAST(SUM(onpromotion) AS DOUBLE) AS sum_onpromotion, CAST(SUM(dow) AS DOUBLE) AS sum_dow,
+       SUM(onpromotion * sales) AS sum_onpromotion_sales, SUM(dow * sales) AS sum_dow_sales,
+       CAST(SUM(onpromotion * onpromotion) AS DOUBLE) AS sum_onpromotion_onpromotion,
+       CAST(SUM(onpromotion * dow) AS DOUBLE) AS sum_onpromotion_dow, CAST(SUM(dow * dow) AS DOUBLE) AS sum_dow_dow
+FROM (SELECT *, dayofweek(date) + 1 AS dow FROM series) GROUP BY family"""
+_BODIES["family_promo_effect"] = """
+SELECT family, COUNT(*) AS row_count,
+       ROUND(COALESCE(CASE WHEN var_pop(onpromotion) > 0 THEN regr_slope(sales, onpromotion) END, 0), 6) AS slope,
+       ROUND(CASE WHEN var_pop(onpromotion) > 0 THEN regr_intercept(sales, onpromotion) ELSE AVG(sales) END, 6) AS intercept
+FROM series GROUP BY family"""
 _BODIES["split_summary"] = """
 SELECT split, COUNT(*) AS row_count, MIN(date) AS min_date, MAX(date) AS max_date,
        ROUND(AVG(y), 6) AS y_mean, ROUND(STDDEV_SAMP(y), 6) AS y_std, MIN(y) AS y_min, MAX(y) AS y_max,
