@@ -25,6 +25,7 @@ from demandflow.session import materialize, ship_package
 
 CAPACITY = 2048
 END_ID = 0  # follows every document
+END_OF_TEXT = "<|endoftext|>"  # one id in both files, also inside a text
 BLOCK = 4096  # characters; tiktoken's pattern runs out of stack in white space of about a million
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -45,13 +46,20 @@ def encoder(path: str):
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        coder = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)}
+        )
         whole = path.removesuffix(".tiktoken") + ".json"
-        return lambda text: encoder(whole)(text) if has_long_space(text) else coder.encode_ordinary(text)
+
+        def encode(text: str) -> list[int]:
+            if has_long_space(text):
+                return encoder(whole)(text)
+            return coder.encode(text, allowed_special="all") if END_OF_TEXT in text else coder.encode_ordinary(text)
+
+        return encode
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 

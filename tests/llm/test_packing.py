@@ -18,7 +18,6 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def ids():
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -32,6 +31,17 @@ def test_both_files_give_the_same_ids(ids, docs):
         assert fast(text) + [0] == ids(text), text[:100]
 
 
+def test_end_of_text_is_one_id(spark, ids):
+    mark = "<|endoftext|>"
+    texts = [mark, f"hello {mark} world", mark * 3, f"{mark}a{mark}", f" {mark} \n{mark}\n ", mark[:-1], f"a{mark} b" * 3000]
+    texts += ["word " * 2046 + mark + " tail" * 3000, " " * 9000 + mark, mark + "\n" * 5000 + mark, f"<|{mark}|>"]
+    assert ids(mark) == [50256, 0] and len(ids(f"hello {mark} world")) == 5
+    fast = packing.encoder(RANKS)
+    for text in texts:
+        assert fast(text) + [0] == ids(text), text[:100]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), ids)
+
+
 def test_long_white_space(spark, ids):
     r = random.Random(7)
     runs = [" " * 2_000_000 + "x", "\n" * 2_000_000, "x" + " \n" * 1_000_000, "a\u3000" + "\x1c" * 9000 + " b"]
