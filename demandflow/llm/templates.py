@@ -9,6 +9,7 @@ class names as no part of an article.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -138,6 +139,7 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.events: list[str | Element] = []
         self.open: list[Element] = []
+        self.tags: Counter[str] = Counter()  # of the open elements
         self.elements: list[Element] = []
         self.feed(html)
         self.close()
@@ -147,6 +149,7 @@ class Page(HTMLParser):
     def shut(self) -> Element:
         """Close the innermost element."""
         element = self.open.pop()
+        self.tags[element.tag] -= 1
         element.end = len(self.events)
         self.events.append(element)
         element.hash = xxhash.xxh64_intdigest("\x00".join([element.tag, *element.parts]))
@@ -160,6 +163,8 @@ class Page(HTMLParser):
 
     def shut_if_open(self, tags: frozenset[str]) -> None:
         """Close the nearest open element of ``tags`` that no container separates from here."""
+        if not any(self.tags[tag] for tag in tags):
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].tag in tags:
                 while len(self.open) > i:
@@ -181,6 +186,7 @@ class Page(HTMLParser):
         self.events.append(element)
         self.elements.append(element)
         self.open.append(element)
+        self.tags[tag] += 1
         if tag in VOID:
             self.shut()
 
@@ -188,7 +194,7 @@ class Page(HTMLParser):
         self.handle_starttag(tag, attrs)  # as browsers do, the slash is not looked at
 
     def handle_endtag(self, tag: str) -> None:
-        if any(e.tag == tag for e in self.open):
+        if self.tags[tag]:
             while self.shut().tag != tag:
                 pass
 

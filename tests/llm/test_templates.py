@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import html
 import re
+import time
+
+import pytest
 
 from demandflow.llm import templates
 
@@ -123,3 +126,13 @@ def test_empty_table_and_extra_columns(spark):
     table = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string")
     assert sorted(r["text"] for r in templates.main_text(table).collect()) == ["x", "x", "z"]
     assert templates.main_text(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "piece", ["<b>x</i>", "<b>x", "<h1>x", "<p>x</div>", "</p>x", "<li>x", "<td>x<b>", "<div>x</span>", "<i><li>x</ul>"]
+)
+def test_unclosed_tags_take_linear_time(piece):
+    began = time.process_time()
+    page = templates.Page(piece * 100_000)
+    assert len(page.text(set()).split()) >= 1
+    assert time.process_time() - began < 15
