@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -98,7 +99,7 @@ class Reader:
         self.automaton.make_automaton()
 
     def hits(self, lower: str) -> tuple[list[tuple[int, str, float]], list[int]]:
-        """(place, term, weight) of the terms at beginnings of words, and the places of addresses."""
+        """(place, term, weight) of the terms at beginnings of words, and the places of addresses in order."""
         terms, addresses = [], []
         for end, (n, uses) in self.automaton.iter(lower):
             start = end - n + 1
@@ -108,7 +109,7 @@ class Reader:
             for term, whole, weight in uses:
                 if closed == whole:
                     terms.append((start, term, weight)) if term else addresses.append(start)
-        return terms, addresses
+        return terms, sorted(addresses)
 
     def features(self, text: str) -> list[float]:
         data = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8), minlength=256)
@@ -119,7 +120,7 @@ class Reader:
         hidden = OBFUSCATED.findall(text)
         plain = " ".join(w.translate(LOOKALIKES) for w in hidden).lower()
         found_hidden = len(self.hits(plain)[0]) if hidden else 0
-        near = sum(any(abs(a - t[0]) <= REACH for a in addresses) for t in terms) if addresses else 0
+        near = sum(bisect_right(addresses, t[0] + REACH) > bisect_left(addresses, t[0] - REACH) for t in terms)
         weights = [t[2] for t in terms]
         marks = data[33:48].sum() + data[58:65].sum() + data[91:97].sum() + data[123:127].sum()
         return [

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 
+import time
+
 import numpy as np
 import pytest
 
@@ -101,3 +103,17 @@ def test_lexicon_terms_are_words_and_beginnings():
     plain, hidden = reader.features("you are scum"), reader.features("you are s.c.u.m")
     assert plain[toxicity.NAMES.index("word_density")] > 0 and hidden[toxicity.NAMES.index("hidden_density")] > 0
     assert len(plain) == len(toxicity.NAMES)
+
+
+def test_near_addresses_equal_all_pairs_and_take_linear_time():
+    reader = toxicity.Reader(toxicity.Lexicon({"idiot": 3.0, "stup*": 2.5}))
+    random = np.random.default_rng(4)
+    place = toxicity.NAMES.index("near_second_person")
+    for _ in range(50):
+        text = " ".join(random.choice(["you", "idiot", "stupid", "word", "x" * 30, "ihr"], size=60))
+        terms, addresses = reader.hits(text.lower())
+        near = sum(any(abs(a - t[0]) <= toxicity.REACH for a in addresses) for t in terms)
+        assert reader.features(text)[place] == pytest.approx(np.log1p(near))
+    began = time.process_time()
+    assert reader.features("you " * 250_000 + "x" * 100 + " idiot" * 250_000)[place] == 0
+    assert time.process_time() - began < 15
