@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from demandflow.llm.common import let, text_of
 
 CONTEXT = 48  # code points before a span that are searched for hints
+LEAST_BLOCK = 64  # matches, of two code points at least, so that a block holds the context of the next
 FINDING = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
@@ -139,37 +140,65 @@ KINDS = (
 )
 
 
+def summed(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, n: a + n)
+
+
+def in_blocks(pairs: Column) -> Column:
+    """``pairs`` cut into blocks of about the square root of their number, ``LEAST_BLOCK`` at least."""
+    size = F.greatest(F.lit(LEAST_BLOCK), F.ceil(F.sqrt(F.size(pairs))).cast("int"))
+
+    def cut(width: Column) -> Column:
+        first = F.sequence(F.lit(1), F.greatest(F.size(pairs), F.lit(1)), width)
+        return F.transform(first, lambda i: F.slice(pairs, i, width))
+
+    return let(size, cut)
+
+
 def spans_of(text: Column, kind: Kind) -> Column:
-    """Confirmed spans of one kind in the order of the text, each with its score."""
+    """Confirmed spans of one kind in the order of the text, each with its score.
+
+    The text is cut into gaps and matches, which are looked through block by block: what one block finds
+    is copied within it alone, and it begins where the lengths of those before it end.
+    """
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
 
-    def located(matches: Column) -> Column:
+    def paired(matches: Column) -> Column:
         gaps = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(matches))
-        pairs = F.zip_with(gaps, matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-        start = F.struct(
-            F.lit(0).cast("bigint").alias("at"),
-            F.array().cast("array<struct<start:bigint,end:bigint,match:string>>").alias("spans"),
-        )
-
-        def step(state: Column, pair: Column) -> Column:
-            begin = state["at"] + F.length(pair["gap"])
-            end = begin + F.length(pair["match"])
-            span = F.struct(begin.alias("start"), end.alias("end"), pair["match"].alias("match"))
-            more = F.when(kind.check(pair["match"]), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-            return F.struct(end.alias("at"), more.alias("spans"))
-
-        return F.aggregate(pairs, start, step, lambda state: state["spans"])
+        return F.zip_with(gaps, matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
 
-    def scored(span: Column) -> Column:
-        begin = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        near = F.substr(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))
+    def step(state: Column, pair: Column) -> Column:
+        # ``tail`` is what stands before a span, as far as hints are looked for.
+        near = F.right(F.concat(state["tail"], pair["gap"]), F.lit(CONTEXT))
+        begin = state["at"] + F.length(pair["gap"])
+        end = begin + F.length(pair["match"])
         hint = F.rlike(F.lower(near), F.lit(kind.hints))
         score = F.lit(kind.score) + F.when(hint, F.lit(1.0 - kind.score) * 0.8).otherwise(F.lit(0.0))
-        return F.struct(
-            F.lit(kind.name).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), score.alias("score")
+        span = F.struct(F.lit(kind.name).alias("kind"), begin.alias("start"), end.alias("end"), score.alias("score"))
+        more = F.when(kind.check(pair["match"]), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+        tail = F.right(F.concat(near, pair["match"]), F.lit(CONTEXT))
+        return F.struct(end.alias("at"), tail.alias("tail"), more.alias("spans"))
+
+    def of_block(block: Column, at: Column, tail: Column) -> Column:
+        start = F.struct(at.alias("at"), tail.alias("tail"), F.array().cast(FINDING).alias("spans"))
+        return F.aggregate(block, start, step, lambda state: state["spans"])
+
+    def located(blocks: Column) -> Column:
+        lengths = F.transform(
+            blocks, lambda block: summed(F.transform(block, lambda p: (F.length(p["gap"]) + F.length(p["match"])).cast("bigint")))
         )
 
-    kept = F.filter(F.transform(let(found, located), scored), lambda s: s["score"] >= kind.needed)
+        def of_blocks(lengths: Column) -> Column:
+            def one(block: Column, i: Column) -> Column:
+                before = F.when(i > 0, F.array_join(F.transform(F.get(blocks, i - 1), lambda p: F.concat(p["gap"], p["match"])), ""))
+                tail = F.right(F.coalesce(before, F.lit("")), F.lit(CONTEXT))
+                return of_block(block, summed(F.slice(lengths, F.lit(1), i)), tail)
+
+            return F.flatten(F.transform(blocks, one))
+
+        return let(lengths, of_blocks)
+
+    kept = F.filter(let(let(let(found, paired), in_blocks), located), lambda s: s["score"] >= kind.needed)
     none = F.array().cast(FINDING)
     return F.when(kind.marker(text) & F.rlike(text, F.lit(kind.pattern)), kept).otherwise(none)
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 
 from llm import brute
 from demandflow.llm import pii
@@ -56,3 +58,27 @@ def test_odd_rows(odd, clashing, empty):
     a = sorted(map(str, pii.personal_data(odd).collect()))
     assert a == sorted(map(str, pii.personal_data(clashing).collect()))
     assert len(a) == odd.count() and pii.personal_data(empty).count() == 0
+
+
+def test_hints_reach_over_matches_and_blocks(spark):
+    """Every span's score, by looking at the code points before it."""
+    random.seed(9)
+    pieces = ["phone ", "call me ", "x ", "+1 555 123 4567;", "10.1.1.1 ", "from ", "a@b.cc ", "mail:", "é\U0001f600 ", "y" * 50]
+    texts = ["".join(random.choices(pieces, k=k)) for k in (3, 50, 200, 2000, 9000) for _ in range(4)]
+    kinds = {k.name: k for k in pii.KINDS}
+    for i, found in findings(spark, texts).items():
+        assert [f[:3] for f in found if f[0] in brute.PERSONAL] == brute.personal(texts[i])
+        for name, start, _, score in found:
+            near = texts[i][max(0, start - pii.CONTEXT) : start].lower()
+            hint = re.search(kinds[name].hints, near) is not None
+            assert abs(score - kinds[name].score - 0.8 * hint * (1 - kinds[name].score)) < 1e-9, (name, near)
+
+
+def test_many_matches_take_about_linear_time(spark):
+    texts = [" ".join(f"user{i}@mail{i % 7}.example.com" for i in range(200_000)), "10.20.30.40, " * 200_000, "+1 555 123 4567; " * 100_000]
+    found = findings(spark, ["a@b.cc"])
+    began = time.time()
+    found = findings(spark, texts)
+    assert [len(f) for f in found.values()] == [200_000, 200_000, 100_000]
+    assert time.time() - began < 60
+    assert [f[:3] for f in found[0]] == brute.personal(texts[0])
