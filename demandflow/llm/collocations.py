@@ -33,10 +33,11 @@ ABSORBED = 80  # percent of a phrase's occurrences inside a longer one that drop
 GROWN = 5_000  # phrases of a language that grow in a round, at first
 ROUND = 100_000  # phrases that grow in a round in all; they are broadcast
 FLUSH = 1 << 18  # words, and
-PENDING = 1 << 21  # occurrences, held by a task before it hands them on
-BLOCK = 1 << 22  # bytes of texts that are looked at together
-CHUNK = 1 << 20  # bytes of words that are hashed at once
+PENDING = 1 << 20  # occurrences, held by a task before it hands them on
+BLOCK = 1 << 21  # bytes of texts that are looked at together
+CHUNK = 1 << 18  # bytes of words that are hashed at once
 LONG = 4_096  # bytes of a word; longer ones are hashed one by one
+BATCH = 1 << 16  # rows that a task hands on at once
 FILTER_BITS = 1 << 26  # of the fixed-size filter of frequent words
 
 UNKNOWN = "und"
@@ -117,6 +118,13 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     yield from ((k, b"\n".join(v).translate(TABLE)) for k, v in held.items())
 
 
+def handed_on(names: list[str], columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """``columns`` as batches of a bounded number of rows."""
+    whole = pa.RecordBatch.from_arrays(columns, names)
+    for start in range(0, whole.num_rows, BATCH):
+        yield whole.slice(start, BATCH)
+
+
 def signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64), pa.int64())
 
@@ -139,7 +147,7 @@ def counted_words(docs: DataFrame) -> DataFrame:
                     signed(hashes),
                     pa.array(list(words.values()), pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "w", "a"])
+                yield from handed_on(["lang", "phrase", "w", "a"], columns)
 
         for lang, data in blocks(batches):
             held[lang].update(data.split())
@@ -189,7 +197,7 @@ def word_pairs(docs: DataFrame, words: DataFrame, least: int) -> DataFrame:
             for lang, pairs in held.items():
                 first, second, n = summed(pairs)
                 columns = [pa.array([lang] * len(n), pa.string()), signed(first), signed(second), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "w", "v", "a"])
+                yield from handed_on(["lang", "w", "v", "a"], columns)
 
         for lang, data in blocks(batches):
             w, piece = hashed_words(data)
@@ -236,7 +244,7 @@ def beside(docs: DataFrame, words: DataFrame, frontier: DataFrame, least: int) -
             if held:
                 nodes, w, n = summed(held)
                 columns = [pa.array(nodes >> 1), pa.array((nodes & 1).astype(np.int32)), signed(w), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "ahead", "w", "a"])
+                yield from handed_on(["node", "ahead", "w", "a"], columns)
 
         quick = {}
         for key, (hashes, _) in shared.value.items():
