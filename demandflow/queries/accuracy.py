@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from demandflow.operators import drift as dr
 from demandflow.operators import metrics as m
 from demandflow.operators import splits as sp
 from demandflow.plans.baselines import seasonal_naive
@@ -90,6 +92,24 @@ def split_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(m.split_summary(_pred_split(spark, folder)))
 
 
+EDGES = (5.0, 10.0, 20.0, 40.0, 80.0)
+
+
+@query
+def drift_bins(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the training and test part by bin."""
+    edges = {"y": EDGES, "prediction": EDGES}
+    base, other = F.col("split") == "train", F.col("split") == "test"
+    return dr.bin_counts(_pred_split(spark, folder), edges, base, other)
+
+
+@query
+def drift_report(spark: SparkSession, folder: str) -> DataFrame:
+    """How far actuals and predictions of the test part have moved from the training part."""
+    edges = {"y": EDGES, "prediction": EDGES}
+    return rounded(dr.split_drift(_pred_split(spark, folder), ["y", "prediction"], edges=edges))
+
+
 @query
 def forecast_errors(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(m.forecast_errors(retail(spark, folder).pred), "pct_error")

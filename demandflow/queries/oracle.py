@@ -553,6 +553,24 @@ _BODIES["error_by_date"] = """
 SELECT date, split, y, prediction, y - prediction AS error, ABS(y - prediction) AS abs_error,
        ROUND((y - prediction) / (y + 1e-10) * 100, 6) AS pct_error
 FROM (SELECT date, split, SUM(y) AS y, SUM(prediction) AS prediction FROM pred_split GROUP BY 1, 2)"""
+_DRIFT_BINS = """
+SELECT feature, CAST(CASE WHEN v IS NULL THEN -1 ELSE (v > 5)::INT + (v > 10)::INT + (v > 20)::INT + (v > 40)::INT + (v > 80)::INT END
+                     AS INTEGER) AS bin,
+       COUNT(*) FILTER (split = 'train') AS base_count, COUNT(*) FILTER (split = 'test') AS other_count
+FROM (SELECT 'y' AS feature, CAST(y AS DOUBLE) AS v, split FROM pred_split
+      UNION ALL SELECT 'prediction', CAST(prediction AS DOUBLE), split FROM pred_split)
+WHERE split IN ('train', 'test') GROUP BY 1, 2"""
+_BODIES["drift_bins"] = _DRIFT_BINS
+_BODIES["drift_report"] = f"""
+SELECT feature, ROUND(SUM((b - a) * ln(b / a)), 6) AS psi, ROUND(MAX(apart) FILTER (bin >= 0), 6) AS ks,
+       ROUND(COALESCE(MAX(base_share) FILTER (bin < 0), 0), 6) AS base_null_share,
+       ROUND(COALESCE(MAX(other_share) FILTER (bin < 0), 0), 6) AS other_null_share
+FROM (SELECT *, GREATEST(base_share, 0.0001) AS a, GREATEST(other_share, 0.0001) AS b FROM (
+  SELECT feature, bin, base_count / SUM(base_count) OVER w AS base_share, other_count / SUM(other_count) OVER w AS other_share,
+         ABS(SUM(base_count) FILTER (bin >= 0) OVER u / SUM(base_count) FILTER (bin >= 0) OVER w
+           - SUM(other_count) FILTER (bin >= 0) OVER u / SUM(other_count) FILTER (bin >= 0) OVER w) AS apart
+  FROM ({_DRIFT_BINS}) WINDOW w AS (PARTITION BY feature), u AS (PARTITION BY feature ORDER BY bin)))
+GROUP BY feature"""
 _BODIES["family_moments"] = """
 SELECT family, COUNT(*) AS row_count, SUM(sales) AS sum_sales, SUM(sales * sales) AS sum_sales_sales,
        CAST(SUM(onpromotion) AS DOUBLE) AS sum_onpromotion, CAST(SUM(dow) AS DOUBLE) AS sum_dow,
