@@ -75,6 +75,53 @@ def metrics_portfolio(
     )
 
 
+def metrics_levels(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    levels: Sequence[Sequence[str]],
+    y: str = "y",
+    prediction: str = "prediction",
+    seasonality: int = 7,
+    date_col: str = "date",
+) -> DataFrame:
+    """The same figures at several levels from one pass; each level is a choice of ``group_cols``, none being the portfolio.
+
+    Rows are summed up per series, where the window has put them already, and only these sums are
+    grouped again, by all levels together. ``level`` names a row's columns, the others are null in it.
+    """
+    unknown = {c for level in levels for c in level} - set(group_cols)
+    if unknown:
+        raise ValueError(f"levels are made of the series key, not of {sorted(unknown)}")
+    size = F.abs(F.col(y)) + F.abs(F.col(prediction))
+    abs_err = F.abs(_error(y, prediction))
+    smape = F.when(size > 0, abs_err / (size / 2)).when(size == 0, 0.0)
+    scale = F.abs(F.col(y) - F.col("_naive"))
+    sums = {"_smape": smape, "_error": abs_err, "_scale": scale}
+    by_series = (
+        _with_naive(df, group_cols, y, prediction, seasonality, date_col)
+        .groupBy(*group_cols)
+        .agg(
+            F.sum(F.when(abs_err.isNotNull(), F.col(y))).alias("_actual"),
+            *[f(c).alias(f"{n}_{f.__name__}") for n, c in sums.items() for f in (F.sum, F.count)],
+        )
+    )
+
+    def mean(name: str) -> Column:
+        return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count"))
+
+    # A bit of the grouping id is 1 where a column is left out, the first column's being the highest.
+    ids = {sum((c not in level) << (len(group_cols) - 1 - i) for i, c in enumerate(group_cols)): level for level in levels}
+    name = F.lit(None).cast("string")
+    for number, level in ids.items():
+        name = F.when(F.grouping_id() == number, F.lit(", ".join(level) or "portfolio")).otherwise(name)
+    return by_series.groupingSets([[F.col(c) for c in level] for level in levels], *group_cols).agg(
+        name.alias("level"),
+        mean("_smape").alias("sMAPE"),
+        ratio(F.sum("_error_sum"), F.sum("_actual")).alias("wMAPE"),
+        ratio(mean("_error"), mean("_scale")).alias("MASE"),
+    )
+
+
 def metrics_long(metrics: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Numeric metrics as (metric, value) pairs; text columns are left to the side."""
     numeric = [c for c, kind in metrics.dtypes if kind in ("double", "float", "int", "bigint") and c not in keys]

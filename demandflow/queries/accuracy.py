@@ -34,6 +34,13 @@ def metrics_portfolio(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(m.metrics_portfolio(retail(spark, folder).pred, SERIES))
 
 
+@query
+def metrics_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Series, families, states and portfolio together."""
+    levels = [SERIES, SERIES[:1], SERIES[1:], ()]
+    return rounded(m.metrics_levels(retail(spark, folder).pred, SERIES, levels))
+
+
 @query
 def portfolio_long(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(m.metrics_long(m.metrics_portfolio(retail(spark, folder).pred, SERIES)))

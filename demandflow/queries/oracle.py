@@ -522,6 +522,11 @@ _BODIES["backtest_naive_predictions"] = "SELECT * FROM naive_folds WHERE predict
 
 _BODIES["metrics_by_series"] = f"SELECT family, state, {_SCALE_FREE} FROM scale_free GROUP BY 1, 2"
 _BODIES["metrics_portfolio"] = f"SELECT {_SCALE_FREE}, 'portfolio' AS level FROM scale_free"
+_BODIES["metrics_levels"] = f"""
+SELECT family, state, 'family, state' AS level, {_SCALE_FREE} FROM scale_free GROUP BY 1, 2
+UNION ALL SELECT family, NULL, 'family', {_SCALE_FREE} FROM scale_free GROUP BY 1
+UNION ALL SELECT NULL, state, 'state', {_SCALE_FREE} FROM scale_free GROUP BY state
+UNION ALL SELECT NULL, NULL, 'portfolio', {_SCALE_FREE} FROM scale_free"""
 _BODIES["portfolio_long"] = f"""
 UNPIVOT (SELECT {_SCALE_FREE} FROM scale_free) ON "sMAPE", "wMAPE", "MASE" INTO NAME metric VALUE value"""
 _BODIES["wmape_by_family"] = """

@@ -151,3 +151,24 @@ def test_negative_predictions_count_as_zero_in_rmsle(spark):
     df = spark.createDataFrame([(1.0, 1.5), (1.0, -3.0)], "y double, prediction double")
     logs = [math.log1p(1.5) - math.log1p(1), -math.log1p(1)]
     assert abs(m.rmsle(df).first()[0] - math.sqrt(sum(x * x for x in logs) / 2)) < 1e-12
+
+
+def test_levels_equal_the_single_ones_with_one_more_exchange(spark):
+    data = [
+        (f, s, day(n), None if n == 5 else float((n * 7 + k) % 11), None if n == 9 else float((n * 3 + k) % 13))
+        for k, (f, s) in enumerate([("A", "N"), ("A", "S"), ("B", "N"), (None, "N")]) for n in range(30)
+    ]
+    df = spark.createDataFrame(data, "family string, state string, date date, y double, prediction double")
+    keys = ["family", "state"]
+    found = m.metrics_levels(df, keys, [keys, ["family"], []])
+    got = {(r.level, r.family, r.state): (r.sMAPE, r.wMAPE, r.MASE) for r in found.collect()}
+    want = {("family, state", r.family, r.state): (r.sMAPE, r.wMAPE, r.MASE) for r in m.metrics_by_series(df, keys).collect()}
+    want |= {("family", r.family, None): (r.sMAPE, r.wMAPE, r.MASE) for r in m.metrics_portfolio(df, keys, by=["family"]).collect()}
+    want |= {("portfolio", None, None): (r.sMAPE, r.wMAPE, r.MASE) for r in m.metrics_portfolio(df, keys).collect()}
+    assert got.keys() == want.keys()
+    for key, figures in want.items():
+        assert got[key] == pytest.approx(figures)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Window [") <= 2
+    with pytest.raises(ValueError, match="series key"):
+        m.metrics_levels(df, keys, [["city"]])
