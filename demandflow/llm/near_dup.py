@@ -347,6 +347,8 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         cost, size = found.agg(F.sum(crossing), F.sum("members")).first()
         if not cost:
             break
+        # Components only grow together, so a list that holds one of them is never open again.
+        postings = materialize(postings.join(sized(found.select("token")), "token", "left_semi"), "open_postings")
         last = turn == LEADER_ROUNDS or cost <= 4 * size
         members = postings.join(sized(labels), "id").join(sized(found), "token")
         pairs = (crossing_pairs if last else leader_pairs)(members).withColumn("tested", F.lit(0))
