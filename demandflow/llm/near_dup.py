@@ -7,9 +7,11 @@ and the frequent lists are skipped. Collisions of the pairs found are counted on
 signatures, and what reaches the threshold is confirmed on the whole sets.
 
 A list of thousands of near copies is never expanded into pairs. Its members are first compared with one leader,
-the member with the most common tokens, and joined into components; that is repeated with other leaders. Only pairs
-across the components that are left in a list are then compared one by one, which leaves out no link: a pair within a
-component could not change it.
+the member with the most common tokens, and joined into components; that is repeated with another leader. What is then
+left in long lists is compared by differences: lists that hang together form a group, every member is written as the
+group's common shingles less some and plus some, and a pair that no member's closeness to the common shingles settles
+must share enough of these differences, so only the postings of rare ones are joined. That leaves out no link: a pair
+within a component could not change it.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ PERCENT = 75  # similarity of a link
 COORDINATES = 64
 # At a similarity of 0.75 the matches are binomial with mean 48 and deviation 3.5; fewer than 33 have a chance of 1e-5.
 MIN_MATCHES = 33
-LEADER_ROUNDS = 6
+STEP = 2 * (100 + PERCENT)  # what one more common shingle adds to the closeness of a pair
+LEADER_ROUNDS = 2
+SHORT = 4  # lists are compared pair by pair when that takes at most so many pairs a member
 UNCOMPRESSED = "uncompressed"  # tables of hashes
 CHUNK_BYTES = 1 << 20  # texts are hashed together up to this size
 SEED = 77
@@ -333,6 +337,98 @@ def crossing_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
 
 
+def common_shingles(members: DataFrame) -> DataFrame:
+    """group and base, the shingles that at least half of a group's members (group, shingles) have.
+
+    There are at most twice as many as a member has on average.
+    """
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
+    held = members.select("group", F.explode("shingles").alias("shingle")).groupBy("group", "shingle")
+    often = held.agg(F.count(F.lit(1)).alias("often")).join(sized(sizes), "group")
+    return often.where("2 * often >= members").groupBy("group").agg(F.collect_list("shingle").alias("base"))
+
+
+def differences(members: DataFrame) -> DataFrame:
+    """id, component, group, n, in_base, closeness and delta of ``members`` (id, component, group, n, shingles).
+
+    ``delta`` holds the base's shingles that a member lacks and its own outside the base. With c the number of
+    shingles that two deltas share, the sets have in_base_x + in_base_y - |base| + c in common, whatever
+    the base is. So they are linked if and only if closeness_x + closeness_y + STEP * c >= 0.
+    """
+    lacking = F.array_except("base", "shingles")
+    both = members.join(common_shingles(members), "group", "left").withColumn(
+        "base", F.coalesce("base", F.array().cast("array<bigint>"))
+    )
+    told = both.withColumns(
+        {"in_base": F.size("base") - F.size(lacking), "delta": F.concat(lacking, F.array_except("shingles", "base"))}
+    )
+    closeness = STEP * F.col("in_base") - STEP // 2 * F.size("base") - 2 * PERCENT * F.col("n")
+    out = told.select("id", "component", "group", "n", "in_base", closeness.cast("bigint").alias("closeness"), "delta")
+    return materialize(out, "differences", UNCOMPRESSED)
+
+
+def delta_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that hold every link across components within the lists of ``members``.
+
+    Members whose closeness makes up for that of the group's closest one are linked with it, which also
+    joins all pairs that are linked by closeness alone. A pair with another member, an outer one, must share a
+    number of differences. So the most frequent of each delta, one less than that number, are not posted;
+    at the rarest shared one, the differences behind it in either order bound how many more can be shared.
+    """
+    star = members.where(F.col("id") != F.col("leader.id"))
+    edges = star.select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct()
+    groups = connected(edges).select(F.col("node").alias("id"), F.col("root").alias("group"))
+    named = materialize(groups.join(sized(members.select("id", "component").distinct()), "id"), "groups")
+    rows = differences(sets.select("id", "n", "shingles").join(sized(named), "id"))
+    closest = rows.groupBy("group").agg(F.max(F.struct("closeness", "id", "component")).alias("closest"))
+    sided = rows.join(sized(materialize(closest, "closest")), "group").withColumn(
+        "outer", F.col("closeness") + F.col("closest.closeness") < 0
+    )
+    with_closest = sided.where(~F.col("outer") & (F.col("component") != F.col("closest.component"))).select(
+        F.least("id", "closest.id").alias("a"), F.greatest("id", "closest.id").alias("b")
+    )
+
+    exploded = sided.select(*[c for c in sided.columns if c != "delta"], F.explode("delta").alias("shingle"))
+    often = exploded.groupBy("group", "shingle").agg(
+        F.count(F.lit(1)).alias("often"),
+        F.max("outer").alias("met"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    )
+    # Differences that one component alone has, or no outer member, count for no pair that is looked for.
+    useful = often.where("met AND low <> high").select("group", "shingle", "often")
+    of_member = Window.partitionBy("id")  # as many rows as a delta has shingles
+    ranked = exploded.join(useful, ["group", "shingle"]).withColumns(
+        {
+            "place": F.row_number().over(of_member.orderBy("often", "shingle")),
+            "shared": F.count(F.lit(1)).over(of_member),
+        }
+    )
+    kept = ["id", "component", "group", "n", "in_base", "closeness", "outer", "shingle", "place", "shared"]
+    ranked = materialize(ranked.select(*kept, F.col("closest.closeness").alias("best")), "delta_shingles")
+    bound = ranked.where("outer").groupBy("group").agg(F.max("closeness").alias("best_outer"))
+    partner = F.when(F.col("outer"), F.col("best")).otherwise(F.col("best_outer"))
+    needed = F.greatest(
+        F.lit(1),
+        F.ceil(-(F.col("closeness") + partner) / STEP),
+        F.ceil(PERCENT * F.col("n") / 100) - F.col("in_base"),
+    )
+    postings = ranked.join(sized(bound), "group").where(F.col("place") <= F.col("shared") - needed + 1)
+    postings = postings.select(
+        *["group", "shingle", "id", "component", "n", "closeness", "outer"],
+        (F.col("shared") - F.col("place") + 1).alias("left"),
+    )
+    postings = materialize(postings, "delta_postings")
+    names = ("id", "component", "n", "closeness", "left")
+    x = postings.where("outer").select("group", "shingle", *[F.col(c).alias(f"{c}_x") for c in names])
+    most = STEP * F.least("left", "left_x")
+    may_link = F.col("closeness") + F.col("closeness_x") + most >= 0
+    similar_size = 100 * F.least("n", "n_x") >= PERCENT * F.greatest("n", "n_x")
+    across = (F.col("component") != F.col("component_x")) & may_link & similar_size
+    met = x.join(postings, ["group", "shingle"]).where(across)
+    return met.select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b")).unionByName(with_closest)
+
+
 def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """id and component of the classes that have a link; all others are alone."""
     postings = posted(classes)
@@ -349,9 +445,14 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
             break
         # Components only grow together, so a list that holds one of them is never open again.
         postings = materialize(postings.join(sized(found.select("token")), "token", "left_semi"), "open_postings")
-        last = turn == LEADER_ROUNDS or cost <= 4 * size
+        short = cost <= SHORT * size
+        last = short or turn == LEADER_ROUNDS
         members = postings.join(sized(labels), "id").join(sized(found), "token")
-        pairs = (crossing_pairs if last else leader_pairs)(members).withColumn("tested", F.lit(0))
+        if short:
+            pairs = crossing_pairs(members)
+        else:
+            pairs = delta_pairs(members, sets) if last else leader_pairs(members)
+        pairs = pairs.withColumn("tested", F.lit(0))
         if tested is not None:
             pairs = pairs.unionByName(tested.withColumn("tested", F.lit(1)))
         new = pairs.groupBy("a", "b").agg(F.max("tested").alias("tested")).where("tested = 0").drop("tested")

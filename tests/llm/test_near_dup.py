@@ -57,6 +57,24 @@ def test_one_large_group(spark):
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4))
 
 
+@pytest.mark.parametrize("leaders", [0, 1])
+@pytest.mark.parametrize("seed", [4, 5])
+def test_differences_alone_lose_no_link(spark, monkeypatch, leaders, seed):
+    """Lists that are never compared pair by pair: chains of copies, several originals in one list, short texts."""
+    monkeypatch.setattr(near_dup, "LEADER_ROUNDS", leaders)
+    monkeypatch.setattr(near_dup, "SHORT", -1)
+    r = random.Random(seed)
+    texts = family(seed, 6, 30, True)
+    base = [f"w{r.randrange(300)}" for _ in range(150)]
+    for _ in range(120):  # a chain: far members have edits in common with near ones
+        texts.append(" ".join(base))
+        base = edited(r, base, r.choice([0.002, 0.006, 0.012]))
+        if r.random() < 0.1:
+            base = base[r.randrange(20) :] + [f"t{r.randrange(50)}" for _ in range(r.randrange(20))]
+    r.shuffle(texts)
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4))
+
+
 def test_components_of_documents(docs):
     check(docs)
 
