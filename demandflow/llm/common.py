@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +38,18 @@ def whole_row(df: DataFrame) -> Column:
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of ``value``, which is computed once however often ``use`` names it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def file_place(docs: DataFrame) -> Column | None:
+    """File (64-bit hash of its path) and row number in it, of the rows of one written Parquet table.
+
+    The same in every read, whatever executors do it. None if the rows come from no files.
+    ``docs`` must be the table as read: rows that a join made of it share places.
+    """
+    try:
+        at = docs.metadataColumn("_metadata")
+        place = F.struct(F.xxhash64(at["file_path"]).alias("file"), at["row_index"].alias("row"))
+        docs.select(place).schema  # noqa: B018  the names are resolved here
+    except AnalysisException:
+        return None
+    return place

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandflow.llm.common import SPACE, text_of, whole_row
+from demandflow.llm.common import SPACE, file_place, text_of, whole_row
 from demandflow.session import materialize, new_dir
 
 BATCH_BYTES = 1 << 38  # of the content store in one micro-batch
@@ -43,32 +43,32 @@ def sha256(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Store:
-    """The written documents: ``row`` (all columns), ``doc_id``, ``locator`` and ``digest``."""
+    """``rows``: ``row`` (all columns), ``doc_id``, ``locator`` and ``digest``; the table at ``path`` has its keys at least."""
 
     path: str
     rows: DataFrame
+    keys: DataFrame
 
-    @property
-    def keys(self) -> DataFrame:
-        return self.rows.select("doc_id", "locator", "digest")
 
+def store(docs: DataFrame, digest: Callable[[Column], Column], written: bool = False) -> Store:
+    """Write ``docs`` with the digest of each normal text; if it is ``written`` already, only identifiers and digests.
 
-def store(docs: DataFrame, digest: Callable[[Column], Column]) -> Store:
-    """Write ``docs`` with the digest of each normal text.
-
-    The locator is the number of the written part and the position in it, so it is unique, also
-    between equal rows, and the same in every later read.
+    The locator is the number of the written part and the position in it, of a written table the file and
+    row number, so it is unique, also between equal rows, and the same in every later read.
     """
     spark = docs.sparkSession
+    place = file_place(docs) if written else None
     rows = docs.select(
         whole_row(docs).alias("row"),
         docs["doc_id"].cast("bigint").alias("doc_id"),
-        F.monotonically_increasing_id().alias("locator"),
+        (F.monotonically_increasing_id() if place is None else place).alias("locator"),
         digest(normal(text_of(docs))).alias("digest"),
     )
     path = new_dir(spark, "content_store")
-    rows.write.parquet(path)
-    return Store(path, spark.read.schema(rows.schema).parquet(path))
+    stored = rows if place is None else rows.drop("row")
+    stored.write.parquet(path)
+    again = spark.read.schema(stored.schema).parquet(path)
+    return Store(path, again if place is None else rows, again.select("doc_id", "locator", "digest"))
 
 
 def first_of(prefix: str = "") -> Column:
@@ -177,11 +177,12 @@ def duplicates(
     return classified(store(docs.select("doc_id", "text"), digest), batch_bytes, broadcast_digests)
 
 
-def without_duplicates(docs: DataFrame) -> DataFrame:
+def without_duplicates(docs: DataFrame, written: bool = False) -> DataFrame:
     """``docs`` with one row of each class of equal texts, in its own columns.
 
-    Rows are looked up by locator, which is unique, so a text with many copies loads no single task.
+    Rows are looked up by locator, which is unique, so a text with many copies loads no single task. With
+    ``written``, ``docs`` is one Parquet table as read, and its rows are not copied.
     """
-    content = store(docs, sha256)
+    content = store(docs, sha256, written)
     kept = classified(content).where("kept").select("locator")
     return content.rows.join(kept, "locator", "left_semi").select("row.*")

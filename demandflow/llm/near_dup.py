@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandflow.llm.common import text_of, whole_row
+from demandflow.llm.common import file_place, text_of, whole_row
 from demandflow.session import materialize, ship_package, sized
 
 WORDS = 5  # of a shingle
@@ -40,7 +40,8 @@ UNCOMPRESSED = "uncompressed"  # tables of hashes
 CHUNK_BYTES = 1 << 20  # texts are hashed together up to this size
 SEED = 77
 
-SIGNED = "locator bigint, doc_id bigint, n_shingles bigint, digest string, signature array<int>"
+PLACE = "struct<file:bigint,row:bigint>"
+SIGNED = f"locator {PLACE}, doc_id bigint, n_shingles bigint, digest string, signature array<int>"
 SETS = "id bigint, digest string, shingles array<bigint>"
 
 
@@ -162,7 +163,7 @@ def signed(docs: DataFrame, locator: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names)
 
     doc_id = docs["doc_id"].cast("bigint").alias("doc_id")
-    texts = docs.select(locator.cast("bigint").alias("locator"), doc_id, text_of(docs).alias("text"))
+    texts = docs.select(locator.cast(PLACE).alias("locator"), doc_id, text_of(docs).alias("text"))
     return materialize(texts.mapInArrow(sign, SIGNED), "signatures", UNCOMPRESSED)
 
 
@@ -500,16 +501,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, written: bool = False) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id, in its own columns.
 
-    Rows with empty sets stay. Of several rows with that doc_id the first as written stays.
+    Rows with empty sets stay. Of several rows with that doc_id the one of the smallest place stays. With ``written``,
+    ``docs`` is one Parquet table as read, whose rows are told by file and row number; otherwise its rows are written once.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
-    stored = materialize(
-        docs.select(whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("locator")), "near_dup_rows"
-    )
+    ship_package(docs.sparkSession)
+    place = file_place(docs) if written else None
+    if place is not None:
+        stored = docs.select(whole_row(docs).alias("row"), place.alias("locator"))
+    else:
+        number = F.struct(F.lit(0).cast("bigint").alias("file"), F.monotonically_increasing_id().alias("row"))
+        stored = materialize(docs.select(whole_row(docs).alias("row"), number.alias("locator")), "near_dup_rows")
     texts = stored.select("locator", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
     found = materialize(grouped(signed(texts, F.col("locator")), texts).where("digest IS NOT NULL"), "near_dup_groups")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "locator"))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import brute
-from demandflow.llm import dedup
+from demandflow.llm import dedup, near_dup
+from demandflow.llm.common import file_place
 
 
 def expected(rows):
@@ -43,3 +44,15 @@ def test_one_row_of_each_text_stays(odd, clashing, empty):
         assert out.columns == table.columns and len(texts) == len(set(texts))
         assert len(texts) == len({e[3] for e in expected(table.collect())})
     assert dedup.duplicates(empty).count() == 0 and dedup.without_duplicates(empty).columns == empty.columns
+
+
+def test_written_tables_are_not_copied(spark, odd, clashing, empty, tmp_path):
+    """Rows told by file and row number give what written copies give, in both operators."""
+    for i, table in enumerate((odd, clashing, empty)):
+        table.repartition(3).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        for operator in (dedup.without_duplicates, near_dup.one_of_each):
+            there, copied = operator(docs, written=True), operator(docs)
+            assert there.columns == docs.columns
+            assert sorted(str(r["doc_id"]) for r in there.collect()) == sorted(str(r["doc_id"]) for r in copied.collect())
+    assert file_place(spark.range(3)) is None
