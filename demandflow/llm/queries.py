@@ -208,6 +208,95 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM numbered JOIN totals USING (la
 """
 
 
+@query
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and targets of ``op1_source_mix``, the columns that do not depend on sampling keys."""
+    return op1_source_mix(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+# A source is capped at twice its size if the share per weight of what the tighter ones leave is above its cap.
+ORACLE_SQL["mix_targets"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+summed AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, CASE row_number() OVER (ORDER BY source COLLATE C NULLS LAST) % 3 WHEN 1 THEN 3.0 WHEN 2 THEN 1.0 ELSE 2.0 END::DOUBLE AS w,
+         1.5 * sum(source_size) OVER () AS budget
+  FROM summed),
+tightest AS (SELECT *, row_number() OVER (ORDER BY source_size / w, source) AS k FROM weighed),
+running AS (
+  SELECT *, coalesce(sum(2.0 * source_size) OVER before, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open
+  FROM tightest WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+shared AS (SELECT *, (budget - capped) / open AS share FROM running),
+level AS (SELECT min(k) AS k FROM shared WHERE share * w <= 2.0 * source_size)
+SELECT z.doc_id, z.size, s.source_size,
+       round(CAST(CASE WHEN s.k < level.k THEN 2.0 * s.source_size ELSE at_level.share * s.w END AS DOUBLE), 3) AS target
+FROM sized z JOIN shared s ON s.source IS NOT DISTINCT FROM z.source, level JOIN shared at_level USING (k)
+"""
+
+
+@query
+def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of the base kinds of ``op2_pii_spans``, which do not depend on scores."""
+    return op2_pii_spans(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+ORACLE_SQL["pii_base_counts"] = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+matches AS (
+  SELECT doc_id, 'email' AS kind, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')) AS m FROM texts
+  UNION ALL SELECT doc_id, 'ip', unnest(regexp_extract_all(text, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)')) FROM texts
+  UNION ALL SELECT doc_id, 'card', unnest(regexp_extract_all(text, '[0-9]([\x20-]?[0-9])+')) FROM texts
+  UNION ALL SELECT doc_id, 'phone', unnest(regexp_extract_all(text, '\+[0-9][\x20().0-9-]+[0-9]')) FROM texts),
+told AS (SELECT row_number() OVER () AS id, doc_id, kind, m, regexp_replace(m, '[^0-9]', '', 'g') AS digits FROM matches),
+places AS (
+  SELECT id, digits, unnest(range(1, length(digits) + 1)) AS i FROM told WHERE kind = 'card' AND length(digits) BETWEEN 16 AND 19),
+doubled AS (SELECT id, i, CAST(substr(digits, length(digits) + 1 - i, 1) AS INT) * CASE WHEN i % 2 = 0 THEN 2 ELSE 1 END AS d FROM places),
+cards AS (SELECT id FROM doubled GROUP BY id HAVING sum(d // 10 + d % 10) % 10 = 0),
+valid AS (
+  SELECT doc_id, kind FROM told WHERE kind = 'email'
+     OR (kind = 'ip' AND regexp_full_match(m,
+         '0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])){3}'))
+     OR (kind = 'card' AND id IN (SELECT id FROM cards))
+     OR (kind = 'phone' AND length(digits) BETWEEN 8 AND 15))
+SELECT t.doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+       count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone
+FROM texts t LEFT JOIN valid USING (doc_id) GROUP BY t.doc_id
+"""
+
+
+@query
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and base verdict of ``op5_quality_rules``, which do not depend on the languages."""
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return op5_quality_rules(spark, sf_dir).select("doc_id", *counts)
+
+
+ORACLE_SQL["quality_base_counts"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, words[i:i + 2] AS three FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM texts)),
+often AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS n FROM windows),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + step) AS n_repeat_words
+  FROM often CROSS JOIN (VALUES (0), (1), (2)) AS steps(step) WHERE n > 1 GROUP BY doc_id),
+worded AS (SELECT doc_id, unnest(lines) AS line FROM texts),
+doubled AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM worded WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(array_to_string(words, ''), '[#*$%&|<>]')) AS BIGINT) AS n_symbols
+  FROM texts)
+SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+       n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
+FROM counted LEFT JOIN doubled USING (doc_id) LEFT JOIN repeated USING (doc_id)
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
