@@ -338,6 +338,20 @@ def crossing_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
 
 
+def groups_of(members: DataFrame) -> DataFrame:
+    """id and group of ``members`` (id, token, leader): those whose lists hang together have one group.
+
+    A member stands for its smallest leader, so that only the pairs of leaders that members have in common
+    go through the rounds of ``connected``, not a link per member and list.
+    """
+    led = materialize(members.select("id", F.col("leader.id").alias("leader")).distinct(), "led")
+    main = materialize(led.groupBy("id").agg(F.min("leader").alias("main")), "main_leaders")
+    pairs = led.join(sized(main), "id").where("leader <> main")
+    edges = pairs.select(F.least("leader", "main").alias("a"), F.greatest("leader", "main").alias("b")).distinct()
+    roots = connected(edges).withColumnRenamed("node", "main")
+    return main.join(sized(roots), "main", "left").select("id", F.coalesce("root", "main").alias("group"))
+
+
 def common_shingles(members: DataFrame) -> DataFrame:
     """group and base, the shingles that at least half of a group's members (group, shingles) have.
 
@@ -376,10 +390,7 @@ def delta_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     number of differences. So the most frequent of each delta, one less than that number, are not posted;
     at the rarest shared one, the differences behind it in either order bound how many more can be shared.
     """
-    star = members.where(F.col("id") != F.col("leader.id"))
-    edges = star.select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct()
-    groups = connected(edges).select(F.col("node").alias("id"), F.col("root").alias("group"))
-    named = materialize(groups.join(sized(members.select("id", "component").distinct()), "id"), "groups")
+    named = materialize(groups_of(members).join(sized(members.select("id", "component").distinct()), "id"), "groups")
     rows = differences(sets.select("id", "n", "shingles").join(sized(named), "id"))
     closest = rows.groupBy("group").agg(F.max(F.struct("closeness", "id", "component")).alias("closest"))
     sided = rows.join(sized(materialize(closest, "closest")), "group").withColumn(

@@ -75,6 +75,20 @@ def test_differences_alone_lose_no_link(spark, monkeypatch, leaders, seed):
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4))
 
 
+def test_members_of_many_lists_are_grouped_by_few_links(spark, monkeypatch):
+    """Lists that hang together are one group, found from pairs of leaders, not from a link per member and list."""
+    links, connected = [], near_dup.connected
+    monkeypatch.setattr(near_dup, "connected", lambda edges: links.append(edges.count()) or connected(edges))
+    rows = [(m, m * 100 + k, 1 + (m + k) % 3) for m in range(10, 210) for k in range(20)]  # leaders 1, 2, 3
+    rows += [(leader, leader, leader) for leader in (1, 2, 3)]
+    rows += [(m, 50_000, 300) for m in (300, 301, 302)]  # a list on its own
+    members = spark.createDataFrame(rows, "id bigint, token bigint, at bigint")
+    members = members.selectExpr("id", "token", "named_struct('id', at) AS leader")
+    got = {r["id"]: r["group"] for r in near_dup.groups_of(members).collect()}
+    assert got == {**{m: 1 for m in (1, 2, 3, *range(10, 210))}, **{m: 300 for m in (300, 301, 302)}}
+    assert links[0] <= 3
+
+
 def test_components_of_documents(docs):
     check(docs)
 
