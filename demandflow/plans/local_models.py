@@ -1,16 +1,19 @@
 """One small model per series, fitted in parallel by Spark.
 
-A group holds one row per day of one series, so its size is bounded by the
-length of the calendar. Parameters travel in the closure of the function.
+The days of a series are gathered into one row, whose size is bounded by the length of the
+calendar; a task reads many such rows as Arrow batches. Parameters travel in the closure of the function.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,17 +21,52 @@ from demandflow.plans.curves import additive_forecast, holt_winters_forecast
 from demandflow.session import ship_package
 
 Forecaster = Callable[[pd.Series, int], np.ndarray]
+WEEK = 7
+THURSDAY = 3  # weekday of 1970-01-01
+WELL_CONDITIONED = 1e-6  # smallest share of the largest eigenvalue
+
+
+def seasonal_design(weekday: int, t: np.ndarray) -> np.ndarray:
+    """Weekdays, trend and one yearly wave of the days ``t`` after a first day."""
+    year = 2 * np.pi * t / 365.25
+    return np.column_stack([np.eye(WEEK)[(weekday + t) % WEEK], t, np.sin(year), np.cos(year)])
+
+
+@lru_cache(maxsize=4 * WEEK)
+def seasonal_table(weekday: int, days: int) -> np.ndarray:
+    return seasonal_design(weekday, np.arange(days))
+
+
+def seasonal_fit(known: np.ndarray, ahead: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The least-squares fit of ``values`` on the rows of ``known``, at the rows of ``ahead``.
+
+    By the normal equations where they are well conditioned, which takes a fraction of the time; short histories, whose
+    columns depend on each other, have the solution of smallest norm.
+    """
+    last = ahead[-1, WEEK] if len(ahead) else known[-1, WEEK]
+    scale = np.ones(known.shape[1])
+    scale[WEEK] = 1.0 / max(last, 1.0)  # the trend reaches 1 on the last day
+    gram = (known.T @ known) * np.outer(scale, scale)
+    spread = np.linalg.eigvalsh(gram)
+    if spread[0] > WELL_CONDITIONED * spread[-1]:
+        coefficients = np.linalg.solve(gram, (known.T @ values) * scale)
+    else:
+        coefficients = np.linalg.lstsq(known * scale, values, rcond=None)[0]
+    return (ahead * scale) @ coefficients
+
+
+def seasonal_days(values: np.ndarray, first: int, horizon: int) -> np.ndarray:
+    """``seasonal_forecast`` of a value per day from day ``first`` since 1970 on."""
+    n = len(values)
+    table = seasonal_table((first + THURSDAY) % WEEK, 1 << (n + horizon - 1).bit_length())
+    return seasonal_fit(table[:n], table[n : n + horizon], values)
 
 
 def seasonal_forecast(y: pd.Series, horizon: int) -> np.ndarray:
     """Additive model by least squares: trend, weekly pattern and one yearly wave; ``y`` is indexed by day."""
     days = y.index.append(pd.date_range(y.index[-1], periods=horizon + 1, freq=y.index.freq or "D")[1:])
-    t = (days - days[0]).days.to_numpy(float)
-    year = 2 * np.pi * t / 365.25
-    weekday = np.eye(7)[days.dayofweek.to_numpy()]
-    design = np.column_stack([weekday, t / max(t[-1], 1.0), np.sin(year), np.cos(year)])
-    coefficients = np.linalg.lstsq(design[: len(y)], y.to_numpy(float), rcond=None)[0]
-    return design[len(y) :] @ coefficients
+    design = seasonal_design(days[0].dayofweek, (days - days[0]).days.to_numpy())
+    return seasonal_fit(design[: len(y)], design[len(y) :], y.to_numpy(float))
 
 
 def arima_forecast(order: tuple[int, int, int]) -> Forecaster:
@@ -101,33 +139,84 @@ def fit_predict_local(
         raise ValueError(f"{model_type} takes no regressors")
     ship_package(train.sparkSession)
     keys = list(group_cols)
+    names = [*keys, date_col, "prediction"]
     schema = T.StructType(
         [*[train.schema[c] for c in keys], T.StructField(date_col, T.DateType()), T.StructField("prediction", T.DoubleType())]
     )
 
-    def one_series(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        known = rows[rows["_test"] == 0]
-        if known.empty:
-            return pd.DataFrame({c: pd.Series(dtype="object") for c in schema.names})
-        y = pd.Series(known[target_col].to_numpy(float), pd.DatetimeIndex(known[date_col])).sort_index()
-        y = y[~y.index.duplicated()].asfreq(freq).interpolate().ffill().bfill()
-        last = pd.Timestamp(rows[date_col].max())
-        days = pd.date_range(y.index[-1], max(last, y.index[-1]), freq=freq)[1:]
-        if len(days) < horizon:
-            days = pd.date_range(y.index[-1], periods=horizon + 1, freq=freq)[1:]
-        if regressors:
-            by_day = rows.drop_duplicates(date_col).set_index(pd.DatetimeIndex(rows.drop_duplicates(date_col)[date_col]))
-            columns = by_day[list(regressors)].astype(float).reindex(y.index.append(days)).fillna(0.0).to_numpy()
-            values = forecaster(y, len(days), columns[: len(y)], columns[len(y) :]) if len(days) else np.empty(0)
+    def one_series(days: np.ndarray, values: np.ndarray, goal: np.ndarray, extra: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The days of ``goal`` that the forecast reaches and its values there."""
+        past = days[~goal]
+        wanted = np.unique(days[goal])
+        order_ = np.argsort(past, kind="stable")
+        past, past_values = past[order_], values[~goal][order_]
+        once = np.append(True, past[1:] != past[:-1]) if len(past) else np.empty(0, bool)
+        past, past_values = past[once], past_values[once]
+        known = ~np.isnan(past_values)
+        if not known.any() or not len(wanted):
+            return wanted[:0], np.empty(0)
+        first, last, end = int(past[0]), int(past[-1]), int(days.max())
+        if freq == "D":
+            grid = np.arange(first, last + 1)
+            y = np.interp(grid, past[known], past_values[known])  # ends keep the nearest value
+            count = max(end - last, horizon)
+            ahead = last + 1 + np.arange(count)
+        else:
+            index = pd.DatetimeIndex(past.astype("datetime64[D]"))
+            regular = pd.Series(past_values, index).asfreq(freq).interpolate().ffill().bfill()
+            until = pd.Timestamp(np.datetime64(end, "D"))
+            future = pd.date_range(regular.index[-1], max(until, regular.index[-1]), freq=freq)[1:]
+            if len(future) < horizon:
+                future = pd.date_range(regular.index[-1], periods=horizon + 1, freq=freq)[1:]
+            grid, ahead = (i.to_numpy().astype("datetime64[D]").astype(np.int64) for i in (regular.index, future))
+            y, count = regular.to_numpy(float), len(ahead)
+        reached = np.isin(wanted, ahead)
+        if not reached.any():
+            return wanted[:0], np.empty(0)
+        if freq == "D" and forecaster is seasonal_forecast:
+            predicted = seasonal_days(y, first, count)
         else:
-            values = forecaster(y, len(days)) if len(days) else np.empty(0)
-        return pd.DataFrame({**dict(zip(keys, key, strict=True)), date_col: days.date, "prediction": values})
-
-    # One row per series tells how far to go; the rest of the test part travels to the models for its regressors only.
-    ends = test if regressors else test.groupBy(*keys).agg(F.max(date_col).alias(date_col))
-    shared = [*keys, date_col, *[F.col(c).cast("double").alias(c) for c in regressors]]
-    history = train.select(*shared, F.col(target_col).cast("double").alias(target_col), F.lit(0).alias("_test"))
-    goals = ends.select(*shared, F.lit(None).cast("double").alias(target_col), F.lit(1).alias("_test"))
-    forecasts = history.unionByName(goals).groupBy(*keys).applyInPandas(one_series, schema)
+            if freq == "D":
+                index = pd.date_range(np.datetime64(first, "D"), periods=len(y), freq="D")
+                regular = pd.Series(y, index)
+            if regressors:
+                by_day = pd.DataFrame(extra, days)
+                by_day = by_day[~by_day.index.duplicated()].reindex([*grid, *ahead]).fillna(0.0).to_numpy()
+                predicted = forecaster(regular, count, by_day[: len(y)], by_day[len(y) :])
+            else:
+                predicted = forecaster(regular, count)
+        return wanted[reached], np.asarray(predicted, float)[np.searchsorted(ahead, wanted[reached])]
+
+    def many_series(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = batch.column(len(keys))
+            ends = np.cumsum(pc.list_value_length(points).to_numpy(zero_copy_only=False))
+            columns = points.flatten().flatten()
+            days = columns[0].cast(pa.int32()).to_numpy(zero_copy_only=False).astype(np.int64)
+            goal = columns[2].to_numpy(zero_copy_only=False).astype(bool)
+            values, *extra = [pc.fill_null(c, np.nan).to_numpy(zero_copy_only=False) for c in (columns[1], *columns[3:])]
+            extra = np.column_stack(extra) if extra else np.empty((len(days), 0))
+            found = [
+                one_series(days[a:b], values[a:b], goal[a:b], extra[a:b])
+                for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)
+            ]
+            series = pa.array(np.repeat(np.arange(len(found)), [len(d) for d, _ in found]))
+            at = np.concatenate([d for d, _ in found]) if found else np.empty(0)
+            predictions = np.concatenate([p for _, p in found]) if found else np.empty(0)
+            out = [pa.array(at.astype(np.int32), pa.int32()).cast(pa.date32()), pa.array(predictions, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(series) for i in range(len(keys))], *out], names)
+
+    def points_of(df: DataFrame, value: Column, goal: bool) -> DataFrame:
+        more = [F.col(c).cast("double").alias(c) for c in regressors]
+        day = F.col(date_col).cast("date").alias("day")
+        return df.where(F.col(date_col).isNotNull()).select(
+            *keys, F.struct(day, value.cast("double").alias("value"), F.lit(goal).alias("goal"), *more).alias("point")
+        )
+
+    # Only the days of the test part are forecast; its other columns stay out of the groups.
+    goals = points_of(test.select(*keys, date_col, *regressors).distinct(), F.lit(None), True)
+    points = points_of(train, F.col(target_col), False).unionByName(goals)
+    whole = points.groupBy(*keys).agg(F.collect_list("point").alias("points"))
+    forecasts = whole.mapInArrow(many_series, schema)
     actuals = test.select(*keys, date_col, test[target_col].alias("y"))
     return actuals.join(forecasts, [*keys, date_col], "left").select(*keys, date_col, "y", "prediction")

@@ -186,6 +186,35 @@ def test_local_models_cover_every_test_row(spark):
         assert [k for k, v in got.items() if v is None] == [("c", day(70))]
 
 
+def test_series_are_fitted_in_batches(spark):
+    """Many short series go to Python together, and only the days of the test part come back."""
+    r = np.random.default_rng(3)
+    sizes = {s: int(r.integers(1, 120)) for s in range(60)}
+    data = [(s if s else None, day(int(d)), float(d % 7 + s)) for s, n in sizes.items() for d in r.choice(400, n, replace=False)]
+    data += [(61, day(n), None if n % 5 == 0 else 2.0) for n in range(30)] + [(61, None, 5.0), (62, day(1), None)]
+    test_days = [(s if s else None, day(n), 1.0) for s in [*sizes, 61, 62, 63] for n in (0, 405, 420, 420)]
+    schema = "s int, date date, sales double"
+    train, test = spark.createDataFrame(data, schema), spark.createDataFrame(test_days, schema)
+    out = fit_predict_local(train, test, "seasonal_local", ["s"], 14)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and "FlatMapGroups" not in text
+    got = [tuple(x) for x in out.collect()]
+    assert len(got) == len(test_days) and all(x[3] is None for x in got if x[0] in (None, 62, 63))
+    for s in (*range(1, 60), 61):
+        rows_ = sorted((d, v) for k, d, v in data if k == s and d is not None)
+        y = pd.Series([v for _, v in rows_], pd.DatetimeIndex([d for d, _ in rows_])).astype(float)
+        y = y.asfreq("D").interpolate().ffill().bfill()
+        ahead = max((pd.Timestamp(day(420)) - y.index[-1]).days, 14)
+        days = pd.date_range(y.index[0], periods=len(y) + ahead)
+        t = np.arange(len(days))
+        year = 2 * np.pi * t / 365.25
+        design = np.column_stack([np.eye(7)[days.dayofweek], t / t[-1], np.sin(year), np.cos(year)])
+        beta = np.linalg.lstsq(design[: len(y)], y.to_numpy(), rcond=None)[0]
+        expected = dict(zip(days.date[len(y) :], design[len(y) :] @ beta, strict=True))
+        for _, d, _, p in (x for x in got if x[0] == s):
+            assert p == (None if d not in expected else pytest.approx(expected[d], rel=1e-6, abs=1e-6))
+
+
 def test_rows_without_a_feature_are_scored_as_missing(spark):
     train = spark.createDataFrame([(i, float(i), 2.0 * i) for i in range(30)], "id int, x double, sales double")
     model = mo.fit_global(train, "sales", [], ["x"], mo.make_estimator("glm"))
