@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 # A dimension with more rows than this is never broadcast.
 BROADCAST_ROWS = 500_000
 
+# Rows of one task where rows are spread by their number.
+TASK_ROWS = 250_000
+
 _local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()  # applications whose executors have the package
 
@@ -100,6 +103,17 @@ def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound: DataFrame | None
     return F.broadcast(df) if is_small(df if bound is None else bound, max_rows) else df
 
 
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, of at most ``rows`` rows, shuffled by ``keys`` into tasks of about ``TASK_ROWS`` rows each.
+
+    What a task holds then does not grow with the table, whatever the session's number of partitions and however well
+    the rows compress. For keys that are nearly unique or of bounded groups; rows of few hot keys are better summed up first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(-(-rows // TASK_ROWS), min(cores, -(-rows // (TASK_ROWS // 25))), 1)
+    return df.repartition(wanted, *keys)
+
+
 def dimension_join(
     fact: DataFrame,
     dim: DataFrame,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandflow.functions.calendar import flag
-from demandflow.session import dimension_join, materialize
+from demandflow.session import dimension_join, materialize, spread
 
 # Fixed values of the derivation.
 STORE_TYPES = ("A", "B", "C", "D", "E")
@@ -82,17 +82,25 @@ class Retail:
 
     @cached_property
     def sales(self) -> DataFrame:
-        """Daily fact: one row per date, store and family."""
-        return self._daily(self._sold.withColumnRenamed("l_suppkey", "store_nbr"), "store_nbr").select(
-            "date", "store_nbr", "family", "sales", "onpromotion"
-        )
+        """Daily fact: one row per date, store and family.
+
+        A store sells few items of a family a day, so summing them up before the shuffle saves little and takes a table
+        of nearly all rows of a task: they are spread over tasks by their number instead.
+        """
+        items = self._dated(self._sold.withColumnRenamed("l_suppkey", "store_nbr"), "store_nbr")
+        items = spread(items, self.table("lineitem").count(), "date", "family", "store_nbr")
+        return self._daily(items, "store_nbr").select("date", "store_nbr", "family", "sales", "onpromotion")
+
+    @staticmethod
+    def _dated(sold: DataFrame, place: str) -> DataFrame:
+        """The columns of sold items that ``_daily`` sums up."""
+        day = F.col("l_shipdate").cast("date").alias("date")
+        return sold.select(day, F.col("p_type").alias("family"), place, "l_quantity", "l_discount")
 
     @staticmethod
-    def _daily(sold: DataFrame, place: str) -> DataFrame:
+    def _daily(items: DataFrame, place: str) -> DataFrame:
         """Sold items per day, family and place."""
-        return sold.groupBy(
-            F.col("l_shipdate").cast("date").alias("date"), F.col("p_type").alias("family"), place
-        ).agg(
+        return items.groupBy("date", "family", place).agg(
             F.sum(F.col("l_quantity").cast("bigint")).cast("double").alias("sales"),
             F.sum(flag(F.col("l_discount") >= PROMOTION_DISCOUNT)).cast("int").alias("onpromotion"),
         )
@@ -187,7 +195,8 @@ class Retail:
         Summed straight from the sold items: the daily fact per store in between
         would be shuffled at nearly the size of the items.
         """
-        return self._daily(self.at_stores(self._sold.withColumnRenamed("l_suppkey", "store_nbr"), "state"), "state")
+        sold = self.at_stores(self._sold.withColumnRenamed("l_suppkey", "store_nbr"), "state")
+        return self._daily(self._dated(sold, "state"), "state")
 
     @cached_property
     def pred(self) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from demandflow import session
 from demandflow.operators import clean, features
 from demandflow.plans import growth
 from demandflow.plans.medallion import Medallion
@@ -63,3 +64,13 @@ def test_comparable_period_reaches_the_scan(tiers):
 def test_no_cross_joins(spark, folder, name):
     text = plan(load_all()[name](spark, folder))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_daily_fact_is_spread_by_its_number_of_items(spark, folder, monkeypatch):
+    """A task holds as many rows of the daily fact at any size of the table, and sums none up before the shuffle."""
+    monkeypatch.setattr(session, "TASK_ROWS", 400)
+    r = Retail(spark, folder)
+    wanted = -(-r.table("lineitem").count() // 400)
+    text = plan(r.sales)
+    assert re.search(rf"hashpartitioning\(date#\d+, family#\d+, store_nbr#\d+L?, {wanted}\), REPARTITION_BY_NUM", text)
+    assert text.count("Exchange hashpartitioning") == 1
