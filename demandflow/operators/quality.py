@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.session import sized
+from demandflow.session import TASK_ROWS, materialize, sized, spread
 from demandflow.sources.contracts import Contract
 
 
@@ -43,17 +44,29 @@ def grain_profile(df: DataFrame, grains: Mapping[str, Sequence[str]]) -> DataFra
     """Rows and distinct keys of several candidate grains.
 
     The rows are first reduced to the distinct combinations of all the columns
-    involved, so that the distinct counts work on what is left of heavy keys.
+    involved, so that the distinct counts work on what is left of heavy keys. These are written and
+    counted grain by grain: few keys are made distinct in the tasks first, many keys are
+    spread by their number, so that no task holds more of them the larger the table is.
     """
     used = sorted({c for key in grains.values() for c in key})
-    combos = df.groupBy(*used).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = combos.agg(
-        F.sum("_rows").alias("row_count"),
-        *[F.count_distinct(F.struct(*key)).alias(name) for name, key in grains.items()],
-    )
-    return counts.unpivot("row_count", list(grains), "grain", "distinct_keys").select(
-        "grain", "distinct_keys", "row_count", (F.col("distinct_keys") == F.col("row_count")).alias("is_unique")
-    )
+    combos = materialize(df.groupBy(*used).agg(F.count(F.lit(1)).alias("_rows")), "combinations")
+    keys = {name: F.struct(*key) for name, key in grains.items()}
+    about = combos.agg(
+        F.count(F.lit(1)), F.sum("_rows"), *[F.approx_count_distinct(key) for key in keys.values()]
+    ).first()
+    n, row_count, sizes = about[0], F.lit(about[1]).cast("bigint"), dict(zip(grains, about[2:], strict=True))
+
+    def counted(name: str) -> DataFrame:
+        key = list(dict.fromkeys(grains[name]))
+        if sorted(key) == used:
+            distinct = combos  # made distinct above
+        else:
+            some = combos.select(*key)
+            distinct = (some if sizes[name] <= TASK_ROWS else spread(some, n, *key)).distinct()
+        return distinct.agg(F.lit(name).alias("grain"), F.count(F.lit(1)).alias("distinct_keys"))
+
+    counts = reduce(DataFrame.unionByName, [counted(name) for name in grains]).withColumn("row_count", row_count)
+    return counts.withColumn("is_unique", F.col("distinct_keys") == F.col("row_count"))
 
 
 def fd_violations(df: DataFrame, determinant: str, dependents: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from conftest import day, rows
 
+from demandflow import session
 from demandflow.operators import quality as q
 from demandflow.operators.policy import CityPolicy, apply_row_policy, publish_view
 from demandflow.sources.contracts import STORES, TRANSACTIONS
@@ -81,3 +82,18 @@ def test_missing_rows_are_distinct_and_null_safe(spark):
     left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
     right = spark.createDataFrame([(2, None), (3, "d")], "k int, v string")
     assert rows(q.missing_rows(left, right)) == [(1, "a"), (3, "c")]
+
+
+def test_grains_of_many_keys_are_spread_and_counted_exactly(spark, monkeypatch):
+    """Null keys count, tasks get a bounded number of keys, and no row is expanded once per grain."""
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    monkeypatch.setattr(q, "TASK_ROWS", 50)
+    data = [(i % 400 if i % 7 else None, i % 3, "x") for i in range(1200)] * 2
+    df = spark.createDataFrame(data, "a int, b int, c string").repartition(4)
+    out = q.grain_profile(df, {"a": ["a"], "b": ["b"], "ab": ["a", "b"], "bc": ["c", "b"], "all": ["c", "b", "a"]})
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text and "REPARTITION_BY_NUM" in text
+    expected = {"a": {(r[0],) for r in data}, "b": {r[1:2] for r in data}, "ab": {r[:2] for r in data}, "bc": {r[1:] for r in data}, "all": set(data)}
+    assert {tuple(r) for r in out.collect()} == {(name, len(keys), 2400, False) for name, keys in expected.items()}
+    nothing = q.grain_profile(df.where("a < 0"), {"a": ["a"], "ab": ["a", "b"]}).collect()
+    assert sorted(tuple(r) for r in nothing) == [("a", 0, None, None), ("ab", 0, None, None)]
