@@ -47,14 +47,16 @@ class Tables:
 def publish_tiers(r: Retail, root: str, run_at: str) -> Tables:
     """Write bronze, silver, gold and platinum tables in this order."""
     t = Tables(r.spark, root)
-    t.write(
-        bronze_stores=r.stores,
-        bronze_transactions=r.transactions,
-        bronze_oil=r.oil_raw,
-        bronze_holidays=r.holidays_raw,
-        bronze_train=r.sales_raw,
-        bronze_test=r.future_raw,
-    )
+    bronze = {
+        "bronze_stores": r.stores,
+        "bronze_transactions": r.transactions,
+        "bronze_oil": r.oil_raw,
+        "bronze_holidays": r.holidays_raw,
+        "bronze_train": r.sales_raw,
+        "bronze_test": r.future_raw,
+    }
+    # The stored predictions come from the last days of sales, which need no table of a tier.
+    side_by_side(lambda job: job(), [lambda: t.write(**bronze), lambda: r.recent_sales])
     last_day = t["bronze_train"].agg(F.max("date"))
     t.write(
         silver_stores=clean_stores(t["bronze_stores"]),
@@ -75,13 +77,17 @@ def publish_tiers(r: Retail, root: str, run_at: str) -> Tables:
     )
     holidays, codes = t["silver_holidays"], t["silver_codes"]
     future_columns = [c for c in SALES_COLUMNS if c != "sales"]
-    t.write(
-        silver_training=enrich(train.select(*SALES_COLUMNS), stores, holidays, oil, codes),
-        silver_testing=enrich(test.select(*future_columns), stores, holidays, oil, codes),
-        gold_daily_store_family=gold_daily_fact(train.drop("year", "month"), stores, holidays, oil),
+    enriched = {
+        "silver_training": enrich(train.select(*SALES_COLUMNS), stores, holidays, oil, codes),
+        "silver_testing": enrich(test.select(*future_columns), stores, holidays, oil, codes),
+        "gold_daily_store_family": gold_daily_fact(train.drop("year", "month"), stores, holidays, oil),
+    }
+    fact = f"{t.root}/gold_sales_forecast"
+    side_by_side(
+        lambda job: job(),
+        [lambda: t.write(**enriched), lambda: store_forecast_fact(fact, r.stored_sales, t["silver_model_predictions"], run_at)],
     )
     gold = t["gold_daily_store_family"]
-    store_forecast_fact(f"{t.root}/gold_sales_forecast", r.stored_sales, t["silver_model_predictions"], run_at)
     t.names.append("gold_sales_forecast")
     cities = stores.select("store_nbr", "city")
     stack = sales_and_forecasts(

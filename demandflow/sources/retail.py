@@ -212,10 +212,15 @@ class Retail:
         w = Window.partitionBy("store_nbr", "family").orderBy("date")
         return self.stored_sales.select("*", *[F.lag("sales", n).over(w).alias(f"lag_{n}") for n in lags])
 
+    @cached_property
+    def recent_sales(self) -> DataFrame:
+        """The last days with ``lag_1`` to ``lag_3``, written once for all predictions made from them."""
+        return materialize(self.last_days(self.lagged_sales(1, 2, 3), FORECAST_DAYS), "recent_sales")
+
     @cached_property
     def scenario_pred(self) -> DataFrame:
         """Forecast horizon under the current and the doubled promotion plan."""
-        horizon = self.last_days(self.lagged_sales(1).filter(F.col("lag_1").isNotNull()), FORECAST_DAYS)
+        horizon = self.recent_sales.filter(F.col("lag_1").isNotNull())
         uplift = F.col("lag_1") * (1 + F.lit(PROMOTION_UPLIFT) * F.col("onpromotion"))
         plans = F.array(
             F.struct(F.lit("current").alias("scenario"), F.col("lag_1").alias("predicted_sales")),
@@ -228,13 +233,13 @@ class Retail:
     @cached_property
     def validation_pred(self) -> DataFrame:
         """Validation rows: the last 28 days with the previous observation as prediction."""
-        rows = self.last_days(self.lagged_sales(1).filter(F.col("lag_1").isNotNull()), FUTURE_DAYS)
+        rows = self.last_days(self.recent_sales.filter(F.col("lag_1").isNotNull()), FUTURE_DAYS)
         return rows.select("date", "store_nbr", "family", "sales", F.col("lag_1").alias("predicted_sales"))
 
     @cached_property
     def model_pred(self) -> DataFrame:
         """Stored predictions of two models, the first of them in two versions."""
-        horizon = self.last_days(self.lagged_sales(1, 2, 3), FORECAST_DAYS)
+        horizon = self.recent_sales
         runs = (
             ("previous", "v1", "lag_1", 1, "2002-01-01 00:00:00"),
             ("previous", "v2", "lag_2", 2, "2002-01-02 00:00:00"),

@@ -74,3 +74,9 @@ def test_daily_fact_is_spread_by_its_number_of_items(spark, folder, monkeypatch)
     text = plan(r.sales)
     assert re.search(rf"hashpartitioning\(date#\d+, family#\d+, store_nbr#\d+L?, {wanted}\), REPARTITION_BY_NUM", text)
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_predictions_share_one_pass_over_the_recent_days(spark, folder):
+    r = Retail(spark, folder)
+    for df in (r.scenario_pred, r.validation_pred, r.model_pred):
+        assert "Window" not in plan(df) and "recent_sales" in plan(df)
